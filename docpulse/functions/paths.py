@@ -81,22 +81,28 @@ def _literal_map(table: dict[str, str]) -> Column:
     return F.create_map(*[F.lit(x) for pair in sorted(table.items()) for x in pair])
 
 
+def mime_of(ext: Column) -> Column:
+    """MIME type of an extension by the platform's standard table."""
+    if not mimetypes.inited:
+        mimetypes.init()
+    return F.try_element_at(_literal_map(mimetypes.types_map), F.lower(ext))
+
+
 def guess_mime(name: Column) -> Column:
-    """MIME type by the platform's standard table; an outer compression suffix is looked through."""
+    """MIME type of a name; an outer compression suffix is looked through."""
     if not mimetypes.inited:
         mimetypes.init()
+    # ``.tgz`` and the like stand for two suffixes; the inner one tells the type.
+    joint = {short: full[: full.rindex(".")] for short, full in mimetypes.suffix_map.items()}
     # The dot has to follow something other than leading dots.
     split = r"(?s)^(\.*[^.].*?)(\.[^.]*)$"
-    base, ext = F.regexp_extract(name, split, 1), F.regexp_extract(name, split, 2)
-    for short, full in sorted(mimetypes.suffix_map.items()):
-        hit = ext == short
-        base, ext = (
-            F.when(hit, F.concat(base, F.lit(full[: full.rindex(".")]))).otherwise(base),
-            F.when(hit, full[full.rindex(".") :]).otherwise(ext),
-        )
-    packed = ext.isin(sorted(mimetypes.encodings_map))
-    ext = F.when(packed, F.regexp_extract(base, split, 2)).otherwise(ext)
-    return F.try_element_at(_literal_map(mimetypes.types_map), F.lower(ext))
+    ext = F.regexp_extract(name, split, 2)
+    inner = F.regexp_extract(F.regexp_extract(name, split, 1), split, 2)
+    return mime_of(
+        F.when(ext.isin(sorted(joint)), F.try_element_at(_literal_map(joint), ext))
+        .when(ext.isin(sorted(mimetypes.encodings_map)), inner)
+        .otherwise(ext)
+    )
 
 
 def content_type(name: Column) -> Column:

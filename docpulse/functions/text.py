@@ -17,23 +17,31 @@ def coerce_int(col: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value evaluated once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def round_tenth(x: Column) -> Column:
     """``x`` rounded to one decimal, exactly, ties to even.
 
     Working on the decimal text of a double would turn 0.15 (a little below the tie) into 0.2.
     20x is kept as an exact sum of two doubles, so the side of the tie is known for sure.
     """
-    twenty = x * F.lit(16.0) + x * F.lit(4.0)
-    rest = x * F.lit(4.0) - (twenty - x * F.lit(16.0))
-    low = F.floor(twenty / F.lit(2.0)).cast("double")
-    side = (twenty - low * F.lit(2.0)) - F.lit(1.0) + rest
-    up = F.when(side > 0, 1.0).when(side < 0, 0.0).otherwise(low % 2.0)
-    return (low + up) / F.lit(10.0)
+
+    def near(x, twenty, low):
+        side = (twenty - low * 2.0) - 1.0 + (x * 4.0 - (twenty - x * 16.0))
+        return let(side, lambda d: (
+            low + F.when(d > 0, 1.0).when(d < 0, 0.0).otherwise(low % 2.0)) / F.lit(10.0))
+
+    return let(x.cast("double"), lambda x: let(
+        x * 16.0 + x * 4.0,
+        lambda t: let(F.floor(t / 2.0).cast("double"), lambda low: near(x, t, low))))
 
 
 def tenth_text(x: Column) -> Column:
-    """``x`` with exactly one decimal."""
-    return F.format_string("%.1f", round_tenth(x))
+    """``x`` with exactly one decimal; NULL stays NULL."""
+    return F.when(x.isNotNull(), F.format_string("%.1f", round_tenth(x)))
 
 
 def whole_text(x: Column) -> Column:

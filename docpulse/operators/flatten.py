@@ -17,7 +17,7 @@ from docpulse.functions.variants import is_number_or_true, truthy
 from docpulse.operators.parse import NODE, explode_variant
 from docpulse.session import cut
 
-LEVELS = 8
+LEVELS = 6
 
 CONTAINER = "kind IN ('object', 'item', 'array')"
 

@@ -160,6 +160,8 @@ def decode_leaves(nodes: DataFrame) -> DataFrame:
         .selectExpr("*", f"{_broken()} AS broken")
         .selectExpr(
             "* EXCEPT (body, kind, error_kind, error_message)",
+            # Containers below the opened levels keep their node for a further round.
+            "CASE WHEN kind IN ('object', 'item', 'array') THEN body END AS body",
             "CASE WHEN broken IS NULL THEN kind ELSE 'error' END AS kind",
             "CASE WHEN broken IS NULL THEN error_kind ELSE 'SchemaError' END AS error_kind",
             "CASE WHEN broken IS NULL THEN error_message "

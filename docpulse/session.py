@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -59,6 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def staging_dir(spark: SparkSession, out: str, run_id: str) -> str:
+    """Folder for the intermediate tables of one run into the tables below ``out``."""
+    return f"{shared_dir(spark)}/docpulse-staging/{hashlib.md5(out.encode()).hexdigest()[:12]}/{run_id}"
+
+
 def cut(df, spark: SparkSession | None = None):
     """Write ``df`` to the shared folder and go on from there."""
     spark = spark or df.sparkSession

@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where a small table comes as one split; a large one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores)
+
+
 # --- documents, from orders -----------------------------------------------------------------
 
 DOC_SQL = """doc AS (
@@ -179,7 +185,7 @@ def line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "document_name": name,
         "mime_type": F.lit("application/pdf"),
     }
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.concat_ws("/", F.concat(F.lit("u"), "l_linestatus"), F.concat(F.lit("an-"), "l_returnflag"),
                     F.concat(name, F.lit(".json"))).alias("path"),
         F.when(F.col("l_orderkey") % 4 == 0, labels_json(line_tree(), **header))
@@ -201,7 +207,7 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         _node("object", valueObject=F.struct(
             _node("integer", valueInteger=F.col("o_custkey")).alias("Key"))).alias("Customer"),
     )
-    orders = table(spark, sf_dir, "orders").select(
+    orders = spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey", "o_totalprice", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
     )
     name = F.concat(F.col("o_orderkey").cast("string"), F.lit(".json"))
