@@ -14,50 +14,51 @@ from pyspark.sql import types as T
 MODES = {0: "L", 16: "RGB", 24: "RGBA"}
 
 
-def _grey(height: int, width: int, channels: int, data) -> np.ndarray:
-    pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
-    if channels == 1:
-        return pixels[:, :, 0]
-    # Rec. 601 luma in 16-bit fixed point; the image source stores blue first.
-    blue, green, red = (pixels[:, :, i].astype(np.uint32) for i in range(3))
-    return ((red * 19595 + green * 38470 + blue * 7471 + 0x8000) >> 16).astype(np.uint8)
-
-
-def _laplacian(grey: np.ndarray) -> np.ndarray:
-    """Four-neighbour Laplacian clipped to a byte; border pixels are kept as they are."""
-    if min(grey.shape) < 3:
-        return grey
-    out = grey.copy()
-    g = grey.astype(np.int16)
-    edge = g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]
-    out[1:-1, 1:-1] = np.clip(edge, 0, 255)
-    return out
-
-
-def _moments(values: np.ndarray) -> tuple[float, float]:
-    """Mean and population variance from the histogram, exact up to the last division."""
-    counts = np.bincount(values.ravel(), minlength=256).astype(object)
-    n = int(values.size)
-    total = sum(int(i) * int(c) for i, c in enumerate(counts))
-    squares = sum(int(i) * int(i) * int(c) for i, c in enumerate(counts))
-    return total / n, (n * squares - total * total) / (n * n)
-
-
 _STATS = T.StructType([T.StructField(n, T.DoubleType()) for n in ("mean", "stdev", "blur")])
 
 
-@F.pandas_udf(_STATS)
-def pixel_stats(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
-    for heights, widths, channels, blobs in batches:
-        rows = []
-        for h, w, c, data in zip(heights, widths, channels, blobs):
-            if data is None or not (h > 0 and w > 0):
-                rows.append((None, None, None))
-                continue
-            grey = _grey(int(h), int(w), int(c), data)
-            mean, variance = _moments(grey)
-            rows.append((mean, variance**0.5, _moments(_laplacian(grey))[1]))
-        yield pd.DataFrame(rows, columns=["mean", "stdev", "blur"])
+def _pixel_udf():
+    """The statistics as a UDF. Its helpers are nested, so that it travels to the workers whole."""
+
+    def grey_of(height: int, width: int, channels: int, data) -> np.ndarray:
+        pixels = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
+        if channels == 1:
+            return pixels[:, :, 0]
+        # Rec. 601 luma in 16-bit fixed point; the image source stores blue first.
+        blue, green, red = (pixels[:, :, i].astype(np.uint32) for i in range(3))
+        return ((red * 19595 + green * 38470 + blue * 7471 + 0x8000) >> 16).astype(np.uint8)
+
+    def laplacian(grey: np.ndarray) -> np.ndarray:
+        # Four neighbours, clipped to a byte; border pixels are kept as they are.
+        if min(grey.shape) < 3:
+            return grey
+        out = grey.copy()
+        g = grey.astype(np.int16)
+        edge = g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]
+        out[1:-1, 1:-1] = np.clip(edge, 0, 255)
+        return out
+
+    def moments(values: np.ndarray) -> tuple[float, float]:
+        # Mean and population variance from the histogram, exact up to the last division.
+        counts = [int(c) for c in np.bincount(values.ravel(), minlength=256)]
+        n = sum(counts)
+        total = sum(i * c for i, c in enumerate(counts))
+        squares = sum(i * i * c for i, c in enumerate(counts))
+        return total / n, (n * squares - total * total) / (n * n)
+
+    def one(h, w, c, data):
+        if data is None or not (h > 0 and w > 0):
+            return None, None, None
+        grey = grey_of(int(h), int(w), int(c), data)
+        mean, variance = moments(grey)
+        return mean, variance**0.5, moments(laplacian(grey))[1]
+
+    @F.pandas_udf(_STATS)
+    def pixel_stats(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        for columns in batches:
+            yield pd.DataFrame([one(*row) for row in zip(*columns)], columns=["mean", "stdev", "blur"])
+
+    return pixel_stats
 
 
 def image_features(images: DataFrame) -> DataFrame:
@@ -73,7 +74,7 @@ def image_features(images: DataFrame) -> DataFrame:
         "path", (F.col("image.height") > 0).alias("decoded"), "image.width", "image.height",
         mode.alias("image_mode"), F.col("image.nChannels").alias("channels"), "image.data",
     )
-    stats = i.withColumn("p", pixel_stats("height", "width", "channels", "data"))
+    stats = i.withColumn("p", _pixel_udf()("height", "width", "channels", "data"))
     known = F.col("decoded")
     return stats.select(
         "path", "decoded", F.when(known, F.col("width")).alias("width"),

@@ -197,7 +197,12 @@ def line_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order as a result file: total, date and a nested customer."""
+    """Every order as a result file."""
+    return order_files_of(spread(table(spark, sf_dir, "orders")))
+
+
+def order_files_of(orders: DataFrame) -> DataFrame:
+    """Orders as result files: total, date and a nested customer."""
     confidence = ((F.col("o_orderkey") % 11) * 5 + 50).cast("decimal(5,0)") / 100
     tree = F.struct(
         _node("number", valueNumber=F.col("o_totalprice"),
@@ -207,9 +212,6 @@ def order_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         _node("object", valueObject=F.struct(
             _node("integer", valueInteger=F.col("o_custkey")).alias("Key"))).alias("Customer"),
     )
-    orders = spread(table(spark, sf_dir, "orders")).select(
-        "o_orderkey", "o_totalprice", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus"
-    )
     name = F.concat(F.col("o_orderkey").cast("string"), F.lit(".json"))
     header = {
         "operation_id": F.concat(F.lit("op-"), F.col("o_custkey").cast("string")),
