@@ -32,7 +32,7 @@ def round_tenth(x: Column) -> Column:
     def near(x, twenty, low):
         side = (twenty - low * 2.0) - 1.0 + (x * 4.0 - (twenty - x * 16.0))
         return let(side, lambda d: (
-            low + F.when(d > 0, 1.0).when(d < 0, 0.0).otherwise(low % 2.0)) / F.lit(10.0))
+            low + F.when(d > 0, 1.0).when(d < 0, 0.0).otherwise(F.abs(low % 2.0))) / F.lit(10.0))
 
     return let(x.cast("double"), lambda x: let(
         x * 16.0 + x * 4.0,

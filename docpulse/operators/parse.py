@@ -32,6 +32,8 @@ def iso_datetime(col: Column) -> Column:
     text = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=$|[T ])", "$1-$2-$3")
     text = F.regexp_replace(text, r"([T ]\d{2})(\d{2})(?=$|[.+Z-]|\d{2})", "$1:$2")
     text = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(\d{2})", "$1:$2")
+    text = F.regexp_replace(text, r"([T ]\d{2})(?=$|[+Z-])", "$1:00")
+    text = F.regexp_replace(text, r"([T ]\d{2}:\d{2})(?=$|[+Z-])", "$1:00")
     day = r"^\d{4}-\d{2}-\d{2}"
     clock = r"[T ]\d{2}(:\d{2}(:\d{2}(\.\d+)?)?)?"
     return (
