@@ -31,12 +31,17 @@ def _children(nodes: DataFrame, container: str) -> DataFrame:
         "*",
         f"""CASE WHEN {container} AND e_value IS NOT NULL AND (kind = 'array') = (e_key IS NULL)
             THEN 1 ELSE 0 END AS fresh""",
-        f"CASE WHEN {container} THEN try_variant_get(e_value, '$', 'struct<type:string>') END AS n",
-    ).filter("n IS NOT NULL OR fresh = 0 AND kind <> 'object'").selectExpr(
+        f"CASE WHEN {container} THEN variant_get(e_value, '$.type', 'string') END AS t",
+    ).selectExpr(
+        # A typed node is an object for sure; only an untyped one needs the closer look.
+        "*",
+        """CASE WHEN fresh = 0 THEN false WHEN t IS NOT NULL THEN true
+            ELSE try_variant_get(e_value, '$', 'struct<type:string>') IS NOT NULL END AS node""",
+    ).filter("node OR fresh = 0 AND kind <> 'object'").selectExpr(
         "*",
         f"""CASE WHEN fresh = 0 THEN CASE WHEN {container} THEN concat('odd_', kind) ELSE kind END
-            WHEN n.type = 'object' THEN CASE WHEN kind = 'array' THEN 'item' ELSE 'object' END
-            WHEN n.type = 'array' THEN 'array'
+            WHEN t = 'object' THEN CASE WHEN kind = 'array' THEN 'item' ELSE 'object' END
+            WHEN t = 'array' THEN 'array'
             ELSE 'leaf' END AS next_kind""",
     ).selectExpr(
         *rest,
@@ -51,6 +56,7 @@ def _children(nodes: DataFrame, container: str) -> DataFrame:
         "CASE WHEN fresh = 0 THEN parent_path ELSE field_path END AS parent_path",
         "CASE WHEN fresh = 1 AND kind = 'array' THEN e_pos ELSE array_index END AS array_index",
         "CASE WHEN fresh = 0 THEN body ELSE e_value END AS body",
+        "CASE WHEN fresh = 0 THEN node_type ELSE t END AS node_type",
     )
 
 

@@ -74,9 +74,9 @@ def _read(nodes: DataFrame) -> DataFrame:
         nodes.selectExpr(
             "*",
             f"""CASE WHEN kind <> 'leaf' THEN NULL
-                WHEN coalesce(variant_get(body, '$.type', 'string'), '') IN
-                    ('', 'false', '0', '0.0', '-0.0', '[]', '{{}}') AND NOT {truthy(ftype)}
-                THEN 'string' ELSE variant_get(body, '$.type', 'string') END AS field_type""",
+                WHEN coalesce(node_type, '') IN ('', 'false', '0', '0.0', '-0.0', '[]', '{{}}')
+                    AND NOT {truthy(ftype)}
+                THEN 'string' ELSE node_type END AS field_type""",
             "try_variant_get(body, '$.confidence', 'double') AS conf",
             "try_variant_get(body, '$.spans[0].offset', 'bigint') AS off",
             "try_variant_get(body, '$.spans[0].length', 'bigint') AS len",
@@ -182,7 +182,7 @@ def decode_leaves(nodes: DataFrame) -> DataFrame:
         "*", f"CASE WHEN {empty} AND conf IS NOT NULL THEN '' ELSE shown END AS value_string"
     ).withColumn("violation", F.when(F.col("kind") == "leaf", F.nullif(_violation(), F.lit("")))
     ).drop(
-        "raw", "raw_object", "src", "src_tag", "plain", "src_text", "as_double", "as_bigint", "conf", "off", "len",
+        "raw", "node_type", "raw_object", "src", "src_tag", "plain", "src_text", "as_double", "as_bigint", "conf", "off", "len",
         "broken", "shown",
     )
 

@@ -23,7 +23,7 @@ HEADER = [
     "api_version", "operation_id", "status",
 ]
 FILE = ["blob_path", "usecase", "analyzer_name"]
-NODE = ["field_path", "field_name", "parent_path", "array_index", "body"]
+NODE = ["field_path", "field_name", "parent_path", "array_index", "body", "node_type"]
 
 
 def iso_datetime(col: Column) -> Column:
@@ -156,7 +156,7 @@ def parse_results(files: DataFrame, run_id: Column | str = "") -> DataFrame:
         "document_id", "version_id", *FILE, "pos", *header, "kind",
         "CAST(NULL AS STRING) AS field_path", "CAST(NULL AS STRING) AS field_name",
         "CAST(NULL AS STRING) AS parent_path", "CAST(NULL AS INT) AS array_index",
-        "CASE WHEN kind = 'root' THEN root END AS body",
+        "CASE WHEN kind = 'root' THEN root END AS body", "CAST(NULL AS STRING) AS node_type",
         "substring_index(problem, ':', 1) AS error_kind",
         "problem AS error_message",
     )

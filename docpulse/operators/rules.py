@@ -319,13 +319,16 @@ RULE_GROUPS = {
 
 
 def judge(files: DataFrame, mode: str = "standard", limits: Limits = LIMITS, groups=None) -> DataFrame:
-    """Add issues, counts, score, band, verdict and metadata to files with their features."""
+    """Add issues, counts, score, band, verdict and metadata to files with their features.
+
+    With only some rule groups asked for, the metadata is left out.
+    """
     if mode not in ("standard", "pro"):
         raise ValueError(f"mode must be 'standard' or 'pro', not {mode!r}")
     rules = [r for name in (groups or RULE_GROUPS) for r in RULE_GROUPS[name](mode, limits)]
-    judged = files.withColumn("issues", collect(rules)).withColumn(
-        "metadata_json", metadata_json(limits)
-    )
+    judged = files.withColumn("issues", collect(rules))
+    if groups is None:
+        judged = judged.withColumn("metadata_json", metadata_json(limits))
     issues = F.col("issues")
     return with_verdict(judged.withColumns({
         "error_count": severity_count(issues, "ERROR"),

@@ -17,7 +17,7 @@ from docpulse.operators.documents import backlink, constraint_violations, finali
 from docpulse.operators.flatten import CONTAINER, LEVELS, flatten_nodes, judge_odd, open_level
 from docpulse.operators.gate import quarantine_rows, routing_manifest
 from docpulse.operators.leaf import decode_leaves
-from docpulse.operators.parse import FILE, NODE, parse_results
+from docpulse.operators.parse import FILE, HEADER, NODE, parse_results
 from docpulse.session import configure, staging_dir
 from docpulse.sources.tables import publish, read_table
 
@@ -38,7 +38,8 @@ def stage(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> D
     rest, n = rows.filter(CONTAINER), 0
     while not rest.isEmpty():
         n += 1
-        nodes = rest.select("document_id", "version_id", *FILE, "pos", *_HEADER, "kind", *NODE, "error_kind", "error_message")
+        nodes = rest.withColumn("node_type", F.lit(None).cast("string")).select(
+            *VERSION, *FILE, "pos", *HEADER, "kind", *NODE, "error_kind", "error_message")
         for _ in range(levels):
             nodes = open_level(nodes)
         write(decode_leaves(judge_odd(nodes)), n)
@@ -47,10 +48,6 @@ def stage(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> D
     return rows
 
 
-_HEADER = ["analyzer_id", "document_name", "content_path", "mime_type", "source_created_at",
-           "api_version", "operation_id", "status"]
-
-
 def _settle(df: DataFrame, folder: str) -> DataFrame:
     """Write a small intermediate and read it back: its size is then known to the planner, which
     broadcasts it when it is small and shuffles when it is not."""

@@ -19,6 +19,10 @@ RUNTIME = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 
+# Launch setting for drivers and executors: the decoding of leaves is one long generated method,
+# which HotSpot would otherwise leave to the interpreter.
+JAVA_OPTIONS = "-XX:-DontCompileHugeMethods"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the operators rely on; launch settings stay the cluster's."""
@@ -37,6 +41,7 @@ def local_session(cpus: int | str = 8, **extra: str) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.driver.memory", "12g")
+        .config("spark.driver.extraJavaOptions", JAVA_OPTIONS)
     )
     for key, value in extra.items():
         builder = builder.config(key, value)
