@@ -17,26 +17,18 @@ def coerce_int(col: Column) -> Column:
     return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("bigint"))
 
 
-def let(value: Column, body) -> Column:
-    """``body(value)`` with the value evaluated once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# Rounding to one decimal, ties to even. 20x is kept as an exact sum of two doubles (t and r), so
+# that the side of the tie is known for sure: working on the decimal text of a double would turn
+# 0.15 (a little below the tie) into 0.2. Each step binds its value once.
+_ROUND_TENTH = """x -> transform(array(x * 16 + x * 4), t ->
+    transform(array(double(floor(t / 2))), low ->
+        transform(array((t - low * 2) - 1 + (x * 4 - (t - x * 16))), side ->
+            (low + CASE WHEN side > 0 THEN 1 WHEN side < 0 THEN 0 ELSE abs(low % 2) END) / 10)[0])[0])[0]"""
 
 
 def round_tenth(x: Column) -> Column:
-    """``x`` rounded to one decimal, exactly, ties to even.
-
-    Working on the decimal text of a double would turn 0.15 (a little below the tie) into 0.2.
-    20x is kept as an exact sum of two doubles, so the side of the tie is known for sure.
-    """
-
-    def near(x, twenty, low):
-        side = (twenty - low * 2.0) - 1.0 + (x * 4.0 - (twenty - x * 16.0))
-        return let(side, lambda d: (
-            low + F.when(d > 0, 1.0).when(d < 0, 0.0).otherwise(F.abs(low % 2.0))) / F.lit(10.0))
-
-    return let(x.cast("double"), lambda x: let(
-        x * 16.0 + x * 4.0,
-        lambda t: let(F.floor(t / 2.0).cast("double"), lambda low: near(x, t, low))))
+    """``x`` rounded to one decimal, exactly, ties to even."""
+    return F.get(F.call_function("transform", F.array(x.cast("double")), F.expr(_ROUND_TENTH)), F.lit(0))
 
 
 def tenth_text(x: Column) -> Column:

@@ -39,15 +39,20 @@ def issue_rows(checked: DataFrame) -> DataFrame:
 
 def apply_outcomes(checks: DataFrame, patches: DataFrame, completed_at=None) -> DataFrame:
     """Patch checks by id: ``submitted_to_cu`` is overwritten, the other columns keep their value
-    where the patch has none. Checks without a patch stay as they are."""
-    now = completed_at if completed_at is not None else F.current_timestamp()
+    where the patch has none. Checks without a patch stay as they are. The time of completion is
+    the patch's own, else ``completed_at``, else now."""
+    if "completed_at" in patches.columns:
+        now = F.col("completed_at")
+    else:
+        now = completed_at if completed_at is not None else F.current_timestamp()
     new = patches.select(
         "check_id", F.col("submitted_to_cu").alias("__submitted"), F.lit(True).alias("__hit"),
+        now.alias("__now"),
         *[F.col(c).alias(f"__{c}") for c in OUTCOME_COLUMNS],
     )
     changed = {
         "submitted_to_cu": F.when(F.col("__hit"), F.col("__submitted")).otherwise(F.col("submitted_to_cu")),
-        "completed_at": F.when(F.col("__hit"), now).otherwise(F.col("completed_at")),
+        "completed_at": F.when(F.col("__hit"), F.col("__now")).otherwise(F.col("completed_at")),
         **{c: F.coalesce(f"__{c}", c) for c in OUTCOME_COLUMNS},
     }
     changed["cu_error_message"] = F.left(changed["cu_error_message"], F.lit(C.ERROR_MESSAGE_CHARS))

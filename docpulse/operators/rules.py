@@ -326,7 +326,7 @@ def judge(files: DataFrame, mode: str = "standard", limits: Limits = LIMITS, gro
     if mode not in ("standard", "pro"):
         raise ValueError(f"mode must be 'standard' or 'pro', not {mode!r}")
     rules = [r for name in (groups or RULE_GROUPS) for r in RULE_GROUPS[name](mode, limits)]
-    judged = files.withColumn("issues", collect(rules))
+    judged = files.withColumn("mode", F.lit(mode)).withColumn("issues", collect(rules))
     if groups is None:
         judged = judged.withColumn("metadata_json", metadata_json(limits))
     issues = F.col("issues")
@@ -334,12 +334,12 @@ def judge(files: DataFrame, mode: str = "standard", limits: Limits = LIMITS, gro
         "error_count": severity_count(issues, "ERROR"),
         "warning_count": severity_count(issues, "WARNING"),
         "info_count": severity_count(issues, "INFO"),
-    })).withColumn("mode", F.lit(mode))
+    }))
 
 
 def with_verdict(rows: DataFrame) -> DataFrame:
     """Add score, band and ``passed`` to rows with severity counts."""
-    counts = [F.col(f"{s}_count") for s in ("error", "warning", "info")]
-    return rows.withColumn("score", score(*counts)).withColumns({
-        "band": band(F.col("score")), "passed": F.col("error_count") == 0,
+    points = score(*[F.col(f"{s}_count") for s in ("error", "warning", "info")])
+    return rows.withColumns({
+        "score": points, "band": band(points), "passed": F.col("error_count") == 0,
     })

@@ -15,7 +15,7 @@ from docpulse.functions.paths import checked_extension, detect_kind, parse_raw_p
 from docpulse.operators.decode import decode_text
 from docpulse.operators.pages import page_text_stats, sampled_pages, scan_page_stats
 from docpulse.operators.rules import judge, with_kind
-from docpulse.schemas import FILE_METRICS, names
+from docpulse.schemas import FILE_METRICS
 
 
 def content_features(content: DataFrame) -> DataFrame:
@@ -80,11 +80,11 @@ def check_files(
     for column, kind in (("head", "binary"), ("encoding", "string"), ("chars", "bigint"), ("modified", "timestamp")):
         if column not in rows.columns:
             rows = rows.withColumn(column, F.lit(None).cast(kind))
-    judged = judge(with_kind(rows), mode, limits)
-    return judged.withColumns({
+    rows = rows.withColumns({
         "check_id": check_id(F.col("blob_path"), F.col("modified")),
         "file_size_bytes": F.coalesce("length", F.lit(0)).cast("bigint"),
     })
+    return judge(with_kind(rows), mode, limits)
 
 
 def with_name(files: DataFrame) -> DataFrame:
@@ -94,6 +94,3 @@ def with_name(files: DataFrame) -> DataFrame:
 def check_id(blob_path: Column, modified: Column) -> Column:
     """Id of a check: one per file and time of change, the same on a retry."""
     return F.xxhash64(blob_path, modified)
-
-
-assert names(FILE_METRICS)[0] == "path"

@@ -62,15 +62,11 @@ def checks(spark: SparkSession, out: str) -> DataFrame:
     newest = patches.groupBy("check_id").agg(
         F.max_by(F.struct(*columns), F.struct("completed_at", "run_id")).alias("p")
     ).select("check_id", "p.*")
-    done = newest.select("check_id", F.col("completed_at").alias("__done"))
-    rows = read_table(spark, out, "checks")
     # A check written again by a later run of the same file version is the same check.
+    rows = read_table(spark, out, "checks")
     rows = rows.groupBy("check_id").agg(
         F.max_by(F.struct(*rows.columns), F.struct("checked_at", "run_id")).alias("r")).select("r.*")
-    return (
-        apply_outcomes(rows, newest).drop("completed_at")
-        .join(done, "check_id", "left").withColumnRenamed("__done", "completed_at")
-    )
+    return apply_outcomes(rows, newest)
 
 
 def issues(spark: SparkSession, out: str, current: DataFrame | None = None) -> DataFrame:
