@@ -3,7 +3,8 @@
 Documents are split by their leading bytes; a document that is alone in its part is done. The rest is split by the
 next bytes, and the next, until each part holds one document or texts that have ended. Texts are equal when they end
 in the same part, so equality rests on the bytes themselves and on no digest. Each split is a count per (part, next
-bytes), which combines map-side, and a join back, which adaptive execution splits when one part holds many documents.
+bytes), which combines map-side, and a join back, which adaptive execution splits when one part holds many documents. Joins are
+merges at every size: what they look up grows with the data, so it is never broadcast.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from docpulse.llm.common import query, stored, table, without
 OWN = ["keep_id", "group_size", "kept", "text_sha256"]
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = 32,
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", head: int = 128,
                 step: int = 256, growth: int = 8) -> DataFrame:
     """Every input row with ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``.
 
@@ -32,26 +33,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     body = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     rows = rows.withColumns({"__head": F.substring(body, 1, head), "text_sha256": F.sha2(body, 256)})
     shared = stored(rows.groupBy("__head").agg(F.count("*").alias("__n")).filter("__n > 1").select("__head"), "heads")
-    alone = [rows.join(shared, "__head", "left_anti").select(*columns, "text_sha256").transform(_single, id_col)]
+    alone = [rows.join(shared.hint("merge"), "__head", "left_anti").select(*columns, "text_sha256").transform(_single, id_col)]
     active = stored(
-        rows.withColumns({"__rest": body, "__row": F.monotonically_increasing_id(), "__part": F.lit(0).cast("long")})
-        .join(shared, "__head").drop("__head"), "parts")
-    ended = []
+        rows.withColumns({"__row": F.monotonically_increasing_id(), "__part": F.lit(0).cast("long")})
+        .join(shared.hint("merge"), "__head").drop("__head"), "parts")
+    ended, done = [], 0
     while not active.isEmpty():
-        cut = active.withColumn("__next", F.substring("__rest", 1, step))
-        parts = (cut.groupBy("__part", "__next").agg(F.count("*").alias("__n"), F.max("__row").alias("__to"))
-                 .filter("__n > 1").drop("__n"))
+        cut = active.withColumn("__next", F.substring(body, done + 1, step))
+        parts = stored(cut.groupBy("__part", "__next").agg(F.count("*").alias("__n"), F.max("__row").alias("__to"))
+                       .filter("__n > 1").drop("__n"), "splits")  # stored, or the join could not split a large part
         dealt = stored(
-            cut.join(parts, ["__part", "__next"], "left")
-            .withColumn("__over", F.length("__next") < step)
-            .withColumn("__rest", F.when(F.col("__to").isNotNull() & ~F.col("__over"),
-                                         F.expr(f"substring(__rest, {step + 1})")))
-            .select(*columns, "text_sha256", "__rest", "__row", "__to", "__over"), "parts")
+            cut.join(parts.hint("merge"), ["__part", "__next"], "left")
+            .select(*columns, "text_sha256", "__row", "__to", (F.length("__next") < step).alias("__over")), "parts")
         alone.append(dealt.filter("__to IS NULL").select(*columns, "text_sha256").transform(_single, id_col))
         ended.append(dealt.filter("__to IS NOT NULL AND __over"))
         active = (dealt.filter("__to IS NOT NULL AND NOT __over")
-                  .select(*columns, "text_sha256", "__rest", "__row", F.col("__to").alias("__part")))
-        step *= growth
+                  .select(*columns, "text_sha256", "__row", F.col("__to").alias("__part")))
+        done, step = done + step, step * growth
     single = reduce(DataFrame.unionByName, alone)
     if not ended:
         return single
@@ -59,9 +57,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = same.groupBy("__to").agg(F.max(id_col).alias("keep_id"), F.count("*").alias("group_size"))
     # a repeated id within a group: the row written first stays
     first = same.groupBy("__to", id_col).agg(F.min("__row").alias("__first")).withColumnRenamed(id_col, "__id")
-    stays = (groups.join(first, "__to").filter(F.col("__id").eqNullSafe(F.col("keep_id")))
-             .select("__to", "keep_id", "group_size", "__first"))
-    multiple = (same.join(stays, "__to").withColumn("kept", F.col("__row") == F.col("__first"))
+    stays = stored(groups.join(first.hint("merge"), "__to").filter(F.col("__id").eqNullSafe(F.col("keep_id")))
+                   .select("__to", "keep_id", "group_size", "__first"), "stays")
+    multiple = (same.join(stays.hint("merge"), "__to").withColumn("kept", F.col("__row") == F.col("__first"))
                 .select(*columns, *OWN))
     return single.select(*columns, *OWN).unionByName(multiple)
 
