@@ -64,7 +64,7 @@ def sainte_lague(rows: DataFrame, within: list[str], share: str, seats: Column,
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-        block: int = 64, shard_rows: int = 20_000, most: int = 3, seed: int = 17) -> DataFrame:
+        block: int = 64, shard_rows: int = 2_000, most: int = 3, seed: int = 17) -> DataFrame:
     """One row per document: its id, ``source``, ``size``, ``source_size``, ``target``, ``taken`` in words.
 
     ``block`` words are one seat; a shard holds about ``shard_rows`` documents, so a large source is spread over many.
