@@ -5,11 +5,16 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterable
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import docpulse.llm
 from docpulse.session import configure, shared_dir
 
+# Functions go to the tasks with their code, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(docpulse.llm)
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}

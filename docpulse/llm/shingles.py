@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,15 +28,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^i and its inverse modulo 2^64, for i below n."""
-    inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
-    return tuple(np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, b)])) for b in (BASE, inverse))
+POWERS: list[np.ndarray] = []
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(21, math.ceil(math.log2(n))) if n > 1 else 1 << 21)
+def _powers(n: int) -> list[np.ndarray]:
+    """BASE^i and its inverse modulo 2^64, for i below n at least; kept for the next piece."""
+    if not POWERS or len(POWERS[0]) < n:
+        n = max(PIECE, 1 << math.ceil(math.log2(n + 1)))
+        inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
+        POWERS[:] = [np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, b)])) for b in (BASE, inverse)]
+    return POWERS
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +45,7 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     solid = ~BLANK[data]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
     start, end = edge[::2], edge[1::2]
-    up, down = _power_table(len(data) + 1)
+    up, down = _powers(len(data) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(VALUES[data] * up[:len(data)])])
     return start, mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64) * STEP)
 
