@@ -5,7 +5,7 @@ import pytest
 from brute import near_components as plain, tuples
 
 from docpulse.llm import ngram_join
-from docpulse.llm.ngram_join import Threshold, link, near_components
+from docpulse.llm.ngram_join import Threshold, common_shingles, link, near_components
 from docpulse.llm.shingles import shingle_sets
 
 
@@ -36,10 +36,9 @@ def test_random_families(docs, seed, low, high, change, width, p):
     assert found(near_components(docs(rows), width, p, 100)) == sorted(map(repr, plain(rows, width, p, 100)))
 
 
-def test_blocks_buckets_and_pivots(docs, monkeypatch):
+def test_blocks_and_buckets(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "BLOCK", 500)
     monkeypatch.setattr(ngram_join, "BUCKET", 2000)
-    monkeypatch.setattr(ngram_join, "PIVOTED", 4)
     rows = families(5, 200, 20, 80, 2)
     assert found(near_components(docs(rows), 3, 90, 100)) == sorted(map(repr, plain(rows, 3, 90, 100)))
 
@@ -73,11 +72,21 @@ def test_some_part_is_always_shared():
                 b = np.delete(b, r.randrange(len(b))) if r.random() < 0.5 and len(b) > 1 else np.append(b, np.uint64(r.getrandbits(64)))
             b = np.unique(b)
             if t.linked(len(np.intersect1d(a, b)), len(a), len(b)):
-                assert set(np.concatenate(t.signatures(a)).tolist()) & set(np.concatenate(t.signatures(b)).tolist())
+                for common in (a[:0], a[: len(a) // 2], a, np.sort(np.union1d(a[::3], b[::2]))):
+                    x, y = (set(np.concatenate(t.signatures(s, common)).tolist()) for s in (a, b))
+                    assert x & y
 
 
-def test_search_in_a_class():
-    rows = families(8, 120, 30, 60, 3)
+@pytest.mark.parametrize("seed,n,change", [(8, 120, 3), (9, 30, 1), (10, 2, 1), (11, 3, 5)])
+def test_search_in_a_class(seed, n, change):
+    rows = families(seed, n, 30, 60, change)
     sets = shingle_sets([t.encode() for _, t in rows], 3)
     forest = link(sets, Threshold(90, 100))
     assert [forest.root(i) for i in range(len(sets))] == [c for _, _, c in plain(rows, 3, 90, 100)]
+
+
+def test_common_shingles(docs):
+    passage = " ".join(f"p{i}" for i in range(30))
+    df = docs([(i, f"a{i} b{i} c{i} {passage} d{i} e{i} f{i}") for i in range(120)])
+    rows = ngram_join.shingled(df.coalesce(1), "doc_id", "text", 5, Threshold(80, 100))
+    assert len(common_shingles(rows)) == 26
