@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from docpulse.llm.common import query, table
+from docpulse.llm.common import query, stored, table
 from docpulse.llm.lexicon import Lexicon, build
 
 PIECE = 1 << 21  # characters handled at a time within an Arrow batch
@@ -71,6 +71,11 @@ class WordBpe:
         return self.library.normalizer.normalize_str(text).split(" ")
 
     def words(self, chunk: str) -> list[str]:
+        if chunk.isascii():
+            if chunk.isalpha():
+                return [chunk]
+            if chunk[:-1].isalpha() and chunk[-1] in ",.":
+                return [chunk[:-1], chunk[-1]]
         if self.plain(chunk):
             return self.find(chunk)
         return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
@@ -131,15 +136,23 @@ class Encoder:
         ids = self.older.get(chunk)
         if ids is None:
             ids = []
-            for word in self.bpe.words(chunk):
-                word = word.encode()
-                ids += (self.lexicon and self.lexicon.get(word)) or self.bpe.merge(word)
+            words = self.bpe.words(chunk)
+            for word in words:
+                known = self.seen.get(word)
+                if known is None:
+                    known = self.word(word.encode())
+                    if len(word) <= 64:
+                        self.seen[word] = known
+                ids = ids + known
         if len(chunk) <= 64:
             if len(self.seen) >= KEPT:
                 self.seen, self.older = {}, self.seen
             self.seen[chunk] = ids
         return ids
 
+    def word(self, word: bytes) -> list[int]:
+        return (self.lexicon and self.lexicon.get(word)) or self.bpe.merge(word)
+
     def encode(self, text: str) -> list[int]:
         out = []
         for special, part in self.bpe.segments(text):
@@ -173,39 +186,58 @@ def word_counts(docs: DataFrame, spec, text_col: str = "text") -> DataFrame:
     """word, n over all texts; ``spec`` is a broadcast tokenizer file. Tasks count before the shuffle."""
 
     def count(batches):
-        bpe = WordBpe(spec.value)
+        bpe, chunks = WordBpe(spec.value), Counter()
         for batch in batches:
             for _, texts in pieces(batch.column(0)):
-                chunks, found = Counter(), Counter()
                 for text in texts:
                     for special, part in bpe.segments(text):
                         if special is None:
                             chunks.update(bpe.chunks(part))
-                for chunk, n in chunks.items():
-                    if len(chunk) <= 64:
-                        for word in bpe.words(chunk):
-                            found[word] += n
-                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
+                if len(chunks) > KEPT:
+                    yield words(bpe, chunks)
+                    chunks = Counter()
+        yield words(bpe, chunks)
+
+    def words(bpe, chunks):
+        found = Counter()
+        for chunk, n in chunks.items():
+            if len(chunk) <= 64:
+                for word in bpe.words(chunk):
+                    found[word] += n
+        return pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
 
     return (docs.select(text_col).mapInArrow(count, "word string, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
+def frequent_words(counts: DataFrame, most: int) -> list[bytes]:
+    """At most ``most`` words, all that are frequent enough: a histogram of 8 steps per doubling gives the least count."""
+    counts = stored(counts.filter("n > 1").withColumn("step", F.floor(F.log2("n") * 8).cast("int")), "words")
+    least, total = None, 0
+    for row in counts.groupBy("step").count().orderBy(F.desc("step")).collect():
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return sorted(r.word.encode() for r in counts.filter(F.col("step") >= least).select("word").collect())
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
            lexicon_words: int = 1 << 16) -> DataFrame:
     """One row per document: its id, ``ids`` array<int> and ``decoded``, the text the ids give.
 
-    ``tokenizer`` is the path of the tokenizer file on the driver. The ``lexicon_words`` most frequent words (ties by
-    code point) of at most 64 characters make the lexicon, which bounds what is sent to the tasks; it has no effect on
-    the result. NULL and empty texts have no ids and decode to "". Repeated rows and NULL ids are kept as they are. Other
+    ``tokenizer`` is the path of the tokenizer file on the driver. The most frequent words of at most 64 characters,
+    ``lexicon_words`` or fewer, make the lexicon, which bounds what is sent to the tasks; it has no effect on the
+    result. NULL and empty texts have no ids and decode to "". Repeated rows and NULL ids are kept as they are. Other
     columns are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     with open(tokenizer, encoding="utf-8") as file:
         text = file.read()
     spec, bpe = spark.sparkContext.broadcast(text), WordBpe(text)
-    counts = word_counts(docs, spec, text_col).orderBy(F.desc("n"), "word").limit(lexicon_words)
-    frequent = sorted(r.word.encode() for r in counts.select("word").collect())
+    frequent = frequent_words(word_counts(docs, spec, text_col), lexicon_words)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
     path = os.path.join(tempfile.mkdtemp(), name)
     with open(path, "wb") as file:
