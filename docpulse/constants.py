@@ -36,17 +36,17 @@ PRO_EXTENSIONS = KIND_EXTENSIONS["pdf"] + KIND_EXTENSIONS["image"]
 
 # Leading bytes per extension, as hex; HEIF brands may sit anywhere in the head.
 SIGNATURES = {
-    ".pdf": ["255044462D"],
-    ".png": ["89504E470D0A1A0A"],
-    ".jpg": ["FFD8FF"],
-    ".jpeg": ["FFD8FF"],
-    ".jpe": ["FFD8FF"],
-    ".bmp": ["424D"],
-    ".tif": ["49492A00", "4D4D002A"],
-    ".tiff": ["49492A00", "4D4D002A"],
-    ".docx": ["504B0304"],
-    ".xlsx": ["504B0304"],
-    ".pptx": ["504B0304"],
+    ".pdf": [b"%PDF-"],
+    ".png": [b"\x89PNG\r\n\x1a\n"],
+    ".jpg": [b"\xff\xd8\xff"],
+    ".jpeg": [b"\xff\xd8\xff"],
+    ".jpe": [b"\xff\xd8\xff"],
+    ".bmp": [b"BM"],
+    ".tif": [b"II*\x00", b"MM\x00*"],
+    ".tiff": [b"II*\x00", b"MM\x00*"],
+    ".docx": [b"PK\x03\x04"],
+    ".xlsx": [b"PK\x03\x04"],
+    ".pptx": [b"PK\x03\x04"],
 }
 HEIF_EXTENSIONS = [".heif", ".heic"]
 HEIF_BRANDS = ["ftypheic", "ftypheix", "ftyphevc", "ftypmif1", "ftypmsf1"]

@@ -16,13 +16,15 @@ from docpulse.plans.views import version_keys
 
 
 def current_documents(documents: DataFrame) -> DataFrame:
-    """Newest version per path and content path, both without regard to case."""
-    order = [c for c in ("ingested_at", "run_id", "pos", "blob_path") if c in documents.columns]
-    row = F.struct(*documents.columns)
+    """Newest version per path and content path, both without regard to case.
+
+    The choice is made on the few columns that order the versions; whole rows are then picked by them.
+    """
+    order = [c for c in ("ingested_at", "run_id", "pos", "blob_path", "content_path") if c in documents.columns]
     newest = documents.groupBy(
         ci_key("blob_path").alias("__path"), ci_key("content_path").alias("__content")
-    ).agg(F.max_by(row, F.struct(*order)).alias("row"))
-    return newest.select("row.*")
+    ).agg(F.max(F.struct(*order)).alias("v")).select(*[F.col(f"v.{c}").alias(f"__{c}") for c in order])
+    return documents.join(newest, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in order], "left_semi")
 
 
 def surviving_children(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
@@ -57,8 +59,9 @@ def finalize_stats(documents: DataFrame, fields: DataFrame) -> DataFrame:
 
 
 def patch_processed_url(documents: DataFrame, moved: DataFrame) -> DataFrame:
-    """Set the processed URL of moved files (``blob_path``, ``url``); others keep theirs."""
-    new = moved.select("blob_path", F.col("url").alias("__url"))
+    """Set the processed URL of moved files (``blob_path``, ``url``); others keep theirs. Of several
+    URLs for a path the greatest holds."""
+    new = moved.groupBy("blob_path").agg(F.max("url").alias("__url"))
     return documents.join(new, "blob_path", "left").select(
         *[
             F.coalesce("__url", c).alias(c) if c == "processed_blob_url" else F.col(c)
@@ -76,6 +79,7 @@ def backlink(documents: DataFrame, links: DataFrame) -> DataFrame:
     order = [c for c in ("run_id", "raw_path", "check_id") if c in links.columns]
     stamp = (
         links.select(F.concat_ws("/", F.lit(C.SOURCE), "result_path").alias("blob_path"), *{*order, "check_id"})
+        .join(documents.select("blob_path").distinct(), "blob_path", "left_semi")  # of all links, those asked for
         .groupBy("blob_path")
         .agg(F.max_by("check_id", F.struct(*order)).alias("__check"))
     )

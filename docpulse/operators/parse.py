@@ -58,12 +58,14 @@ def explode_variant(df: DataFrame, what: str) -> DataFrame:
 
 
 def parse_json(files: DataFrame) -> DataFrame:
-    """Replace ``value`` by ``v``: the parsed text in a one-element array, NULL when it is not JSON.
+    """Replace ``value`` by ``v``: the parsed text in a one-element array, NULL when it is not JSON;
+    ``unread`` tells files without a text, which their source could not read.
 
     The parser stops after the first value; within an array, anything that follows is an error.
     """
     return files.selectExpr(
         "* EXCEPT (value)",
+        "value IS NULL AS unread",
         "CASE WHEN is_valid_utf8(value) THEN try_parse_json(concat('[', value, ']')) END AS v",
     )
 
@@ -101,6 +103,7 @@ def contents(files: DataFrame) -> DataFrame:
     return rows.selectExpr(
         "*",
         f"""CASE
+            WHEN unread THEN 'ReadError: the file could not be read'
             WHEN shape = 'unparsed' THEN 'ParseError: the file is not one JSON value in UTF-8'
             WHEN shape = 'unknown' THEN 'SchemaError: neither an analyze result '
               || '(result.contents) nor a labels file (fieldLabels)'

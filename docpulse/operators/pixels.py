@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,3 +82,55 @@ def image_features(images: DataFrame) -> DataFrame:
         F.when(known, F.col("height")).alias("height"), "image_mode",
         "p.mean", "p.stdev", "p.blur",
     )
+
+
+def _size_udf():
+    """Width and height from an image's header. Its helpers are nested, so that it travels to the workers whole."""
+
+    def tiff(data):
+        order = "<" if data[:2] == b"II" else ">"
+        place, = struct.unpack_from(order + "I", data, 4)
+        count, = struct.unpack_from(order + "H", data, place)
+        found = {}
+        for i in range(count):
+            tag, kind = struct.unpack_from(order + "HH", data, place + 2 + 12 * i)
+            if tag in (256, 257):
+                found[tag], = struct.unpack_from(order + ("H" if kind == 3 else "I"), data, place + 10 + 12 * i)
+        return found[256], found[257]
+
+    def jpeg(data):
+        place = 2
+        while data[place] == 0xFF:
+            marker, length = data[place + 1], struct.unpack_from(">H", data, place + 2)[0]
+            if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
+                height, width = struct.unpack_from(">HH", data, place + 5)
+                return width, height
+            place += 2 + length
+        return None, None
+
+    def one(data):
+        try:
+            if data[:8] == b"\x89PNG\r\n\x1a\n":
+                return struct.unpack_from(">II", data, 16)
+            if data[:2] == b"BM":
+                width, height = struct.unpack_from("<ii", data, 18)
+                return abs(width), abs(height)
+            if data[:4] in (b"II*\x00", b"MM\x00*"):
+                return tiff(data)
+            if data[:2] == b"\xff\xd8":
+                return jpeg(data)
+        except (struct.error, IndexError, KeyError, TypeError):
+            pass  # a damaged header: the decoder will say so
+        return None, None
+
+    @F.pandas_udf("width INT, height INT")
+    def size(contents: pd.Series) -> pd.DataFrame:
+        sizes = [tuple(None if s is None else min(s, 2**31 - 1) for s in one(c)) for c in contents]
+        return pd.DataFrame(sizes, columns=["width", "height"], dtype="object")
+
+    return size
+
+
+def image_size(content: str):
+    """``width, height`` of a PNG, JPEG, BMP or TIFF file by its header, without decoding it; else NULLs."""
+    return _size_udf()(content)

@@ -88,14 +88,19 @@ def size_rules(mode: str = "standard", limits: Limits = LIMITS) -> list[Column]:
     ]
 
 
-def magic_rules() -> list[Column]:
+def largest(limits: Limits) -> int:
+    """Size beyond which a file of any kind is too large; its bytes are not read."""
+    return max(limits.max_bytes_pdf, limits.max_bytes_image, limits.max_bytes_office, limits.max_bytes_text, limits.max_bytes_pro)
+
+
+def magic_rules(limits: Limits = LIMITS) -> list[Column]:
     """First bytes against the extension; extensions without a signature are not tested."""
     ext, head, live = F.col("extension"), F.col("head"), F.col("live")
     fits = F.lit(None).cast("boolean")
     for extension, signatures in C.SIGNATURES.items():
         hit = F.lit(False)
         for signature in signatures:
-            hit = hit | F.startswith(head, F.unhex(F.lit(signature)))
+            hit = hit | F.startswith(head, F.lit(signature))
         fits = F.when(ext == extension, hit).otherwise(fits)
     brand = F.lit(False)
     for name in C.HEIF_BRANDS:
@@ -103,7 +108,7 @@ def magic_rules() -> list[Column]:
     fits = F.when(ext.isin(C.HEIF_EXTENSIONS), brand).otherwise(fits)
     tested = ext.isin([*C.SIGNATURES, *C.HEIF_EXTENSIONS]) | (F.col("detected_kind") == "text")
     return [
-        rule("READ_FAILED", "ERROR", live & tested & head.isNull(), "the file could not be read"),
+        rule("READ_FAILED", "ERROR", live & tested & head.isNull() & (F.col("length") <= largest(limits)), "the file could not be read"),
         rule("MAGIC_MISMATCH", "WARNING", live & head.isNotNull() & ~fits,
              _say("the first bytes do not belong to a ", ext, " file; it may be renamed or damaged"),
              [("first_bytes", json_text(F.lower(F.hex(F.substring(head, 1, 8)))))]),
@@ -310,7 +315,7 @@ def metadata_json(limits: Limits = LIMITS) -> Column:
 
 RULE_GROUPS = {
     "size": lambda mode, limits: size_rules(mode, limits),
-    "magic": lambda mode, limits: magic_rules(),
+    "magic": lambda mode, limits: magic_rules(limits),
     "pdf": pdf_rules,
     "image": lambda mode, limits: image_rules(limits),
     "office": lambda mode, limits: office_rules(limits),

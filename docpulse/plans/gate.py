@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
 from docpulse.functions.paths import checked_extension, detect_kind
 from docpulse.operators.checks import check_rows, issue_rows
 from docpulse.operators.gate import (
     outcome_patches, raw_manifest, rejection_errors, result_links, route_outcomes,
 )
-from docpulse.operators.pixels import image_features
+from docpulse.operators.pixels import image_features, image_size
 from docpulse.plans.quality import check_files, content_features, file_rows
-from docpulse.session import configure, staging_dir
-from docpulse.sources.files import read_images
+from docpulse.operators.rules import largest
+from docpulse.session import clear_staging, configure, staging_dir
+from docpulse.sources.files import empty_files, read_contents, read_images
 from docpulse.sources.tables import checks, issues, publish, read_table
 
 
@@ -26,7 +30,7 @@ def check_batch(
     """Judge raw files (``path, modificationTime, length, content``) and store checks and issues."""
     spark = configure(content.sparkSession)
     rows = file_rows(content_features(content), manifest)
-    checked = check_files(rows, file_metrics, page_metrics, images, mode, limits)
+    checked = check_files(rows, file_metrics, page_metrics, images, mode, limits, run_id)
     # Judged once, then written to two tables.
     folder = f"{staging_dir(spark, out, run_id)}/checked"
     checked.drop("metrics", "pages", "image", "head").write.mode("overwrite").parquet(folder)
@@ -34,6 +38,7 @@ def check_batch(
     now = F.date_trunc("millisecond", F.current_timestamp())
     publish(issue_rows(checked), out, "issues", run_id)
     publish(check_rows(checked, now), out, "checks", run_id)
+    clear_staging(spark, out, run_id)
 
 
 def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: bool = False) -> DataFrame:
@@ -58,15 +63,54 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
         "error_id": F.xxhash64(F.lit(run_id), "blob_path", "error_kind"), "occurred_at": now,
     }), out, "errors", run_id)
     publish(outcome_patches(routed).withColumn("completed_at", now), out, "patches", run_id)
-    return routed
+    return routed  # reads the staging folder, which a later settlement of the run replaces
+
+
+def check_listed(
+    spark, src: str, listed: DataFrame, out: str, run_id: str, mode: str = "standard",
+    limits: Limits = LIMITS, file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None,
+) -> None:
+    """Judge listed files below ``src`` (``path, modificationTime, length``): one check for each.
+
+    Bytes are read of files within the largest limit; larger ones are judged by their size alone. The
+    paths of the batch are gathered here: the trigger bounds how many they are.
+    """
+    manifest = listed.select("path", F.lit(True).alias("is_file"), "length", F.col("modificationTime").alias("modified"))
+    longest = largest(limits)
+    paths = [r.path for r in listed.filter(F.col("length").between(1, longest)).select("path").collect()]
+    content = read_contents(spark, src, paths, longest)
+    check_batch(content, out, run_id, mode, limits, manifest, file_metrics, page_metrics,
+                batch_images(spark, src, content, limits))
+
 
+def batch_images(spark, src: str, content: DataFrame, limits: Limits = LIMITS) -> DataFrame | None:
+    """Features of the images among ``content``.
 
-def batch_images(spark, src: str, content: DataFrame, max_files: int) -> DataFrame | None:
-    """Features of the images of a micro-batch; its paths are at most ``max_files``."""
+    Their headers tell the dimensions: images with a side beyond the limit have these features only,
+    since decoding them could take more memory than a task has; the others go to the decoder.
+    """
     name = F.substring_index(F.col("path"), "/", -1)
     is_image = detect_kind(checked_extension(name)) == "image"
-    paths = [r.path for r in content.select("path").filter(is_image).limit(max_files).collect()]
-    return image_features(read_images(spark, src, paths)) if paths else None
+    sizes = content.filter(is_image).select("path", image_size("content").alias("s")).select("path", "s.*").collect()
+    huge = [r for r in sizes if r.width is not None and max(r.width, r.height) > limits.image_max_side]
+    skip = {r.path for r in huge}
+    paths = [r.path for r in sizes if r.path not in skip]
+    parts = [image_features(read_images(spark, src, paths))] if paths else []
+    if huge:
+        parts.append(spark.createDataFrame(
+            [(r.path, True, r.width, r.height, None, None, None, None) for r in huge],
+            "path STRING, decoded BOOLEAN, width INT, height INT, image_mode STRING, mean DOUBLE, stdev DOUBLE, blur DOUBLE"))
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
+def check_empty(spark, src: str, out: str, name: str, mode: str = "standard", limits: Limits = LIMITS) -> None:
+    """Judge the files of no bytes below ``src`` that have no such check yet; streams do not hand them out."""
+    known = read_table(spark, out, "checks").filter("file_size_bytes = 0").select(
+        F.expr(f"substring(blob_path, {len(C.INCOMING) + 2})").alias("path")).distinct()
+    found = empty_files(spark, src).join(known, "path", "left_anti")
+    run = found.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("path")).alias("x")).first()
+    if run.n:
+        check_listed(spark, src, found, out, f"{name}-empty-{run.x & (2**64 - 1):016x}", mode, limits)
 
 
 def links_of(spark, out: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docpulse import constants as C
 from docpulse.functions.paths import parse_result_paths
@@ -18,7 +19,8 @@ from docpulse.operators.flatten import CONTAINER, LEVELS, flatten_nodes, judge_o
 from docpulse.operators.gate import quarantine_rows, routing_manifest
 from docpulse.operators.leaf import decode_leaves
 from docpulse.operators.parse import FILE, HEADER, NODE, parse_results
-from docpulse.session import configure, staging_dir
+from docpulse.session import clear_staging, configure, staging_dir
+from docpulse.sources.files import empty_files
 from docpulse.sources.tables import publish, read_table
 
 VERSION = ["document_id", "version_id"]
@@ -33,8 +35,10 @@ def stage(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> D
     spark = files.sparkSession
     write = lambda rows, n: rows.withColumn("round", F.lit(n)).write.mode("overwrite").partitionBy(
         "kind").option("partitionOverwriteMode", "static").parquet(f"{folder}/{n}")
-    write(decode_leaves(flatten_nodes(parse_results(files, run_id), levels)), 0)
-    rows = spark.read.parquet(f"{folder}/0")
+    first = decode_leaves(flatten_nodes(parse_results(files, run_id), levels))
+    write(first, 0)
+    schema = rows_schema(first)
+    rows = spark.read.schema(schema).parquet(f"{folder}/0")
     rest, n = rows.filter(CONTAINER), 0
     while not rest.isEmpty():
         n += 1
@@ -43,11 +47,17 @@ def stage(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> D
         for _ in range(levels):
             nodes = open_level(nodes)
         write(decode_leaves(judge_odd(nodes)), n)
-        more = spark.read.parquet(f"{folder}/{n}")
+        more = spark.read.schema(schema).parquet(f"{folder}/{n}")
         rows, rest = rows.unionByName(more), more.filter(CONTAINER)
     return rows
 
 
+def rows_schema(decoded: DataFrame) -> T.StructType:
+    """Columns of the staged rows as they are read back, the partition's last; a batch may have no rows."""
+    fields = [f for f in decoded.schema if f.name != "kind"]
+    return T.StructType([*fields, T.StructField("round", T.IntegerType()), decoded.schema["kind"]])
+
+
 def _settle(df: DataFrame, folder: str) -> DataFrame:
     """Write a small intermediate and read it back: its size is then known to the planner, which
     broadcasts it when it is small and shuffles when it is not."""
@@ -87,8 +97,9 @@ def ingest_batch(
     good = usable.join(bad_versions, VERSION, "left_anti")
     fields = leaves.join(bad_versions, VERSION, "left_anti")
 
-    publish(
-        fields.withColumn("field_id", F.xxhash64("version_id", "field_path")), out, "fields", run_id)
+    # A key "a.b" and a key "b" below "a" have one path, but not one name and parent.
+    place = F.xxhash64("version_id", "field_path", "field_name", F.coalesce("parent_path", F.lit("")), "array_index")
+    publish(fields.withColumn("field_id", place), out, "fields", run_id)
     errors = bad_files.unionByName(refused.select(
         *FILE, F.lit("SqlError").alias("error_kind"),
         F.concat(F.lit("SqlError: values out of the range of their columns: "), "violation").alias("error_message")))
@@ -118,4 +129,15 @@ def ingest_batch(
     row = read_table(spark, out, "manifest").filter(F.col("run_id") == run_id).agg(
         F.count_if(F.col("disposition") == C.PROCESSED).alias("processed"),
         F.count_if(F.col("disposition") == C.FAILED).alias("failed")).first()
+    clear_staging(spark, out, run_id)
     return row.asDict()
+
+
+def ingest_empty(spark, src: str, out: str, name: str) -> None:
+    """Log and route the result files of no bytes that are not routed yet; streams do not hand them out."""
+    known = read_table(spark, out, "manifest").filter(F.col("disposition") == C.FAILED).select(
+        F.expr(f"substring(src_path, {len(C.SOURCE) + 2})").alias("path")).distinct()
+    found = empty_files(spark, src).filter(F.lower("path").endswith(".json")).join(known, "path", "left_anti")
+    run = found.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("path")).alias("x")).first()
+    if run.n:
+        ingest_batch(found.select("path", F.lit("").alias("value")), out, f"{name}-empty-{run.x & (2**64 - 1):016x}")

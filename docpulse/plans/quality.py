@@ -34,9 +34,10 @@ def file_rows(features: DataFrame, manifest: DataFrame | None = None) -> DataFra
     source leaves out: empty ones, folders and missing ones (``is_file`` NULL)."""
     if manifest is None:
         return features.withColumns({"found": F.lit(True), "is_file": F.lit(True)})
+    known = ["modified"] if "modified" in manifest.columns else []
     listed = manifest.select("path", F.col("is_file").isNotNull().alias("found"),
-                             F.coalesce("is_file", F.lit(False)).alias("is_file"), "length")
-    return listed.join(features.drop("length"), "path", "left")
+                             F.coalesce("is_file", F.lit(False)).alias("is_file"), "length", *known)
+    return listed.join(features.drop("length", *known), "path", "left")
 
 
 def _attach(rows: DataFrame, more: DataFrame | None, name: str, ddl: str) -> DataFrame:
@@ -59,7 +60,7 @@ METRICS = "struct<" + FILE_METRICS.replace("path STRING,", "").strip() + ", scan
 
 def check_files(
     files: DataFrame, file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None,
-    images: DataFrame | None = None, mode: str = "standard", limits: Limits = LIMITS,
+    images: DataFrame | None = None, mode: str = "standard", limits: Limits = LIMITS, run_id: str = "",
 ) -> DataFrame:
     """Judge files (see :func:`file_rows`); adds the columns of a check and its ``issues``.
 
@@ -81,7 +82,7 @@ def check_files(
         if column not in rows.columns:
             rows = rows.withColumn(column, F.lit(None).cast(kind))
     rows = rows.withColumns({
-        "check_id": check_id(F.col("blob_path"), F.col("modified")),
+        "check_id": check_id(F.col("blob_path"), F.col("modified"), run_id),
         "file_size_bytes": F.coalesce("length", F.lit(0)).cast("bigint"),
     })
     return judge(with_kind(rows), mode, limits)
@@ -91,6 +92,6 @@ def with_name(files: DataFrame) -> DataFrame:
     return files.withColumn("file_name", F.substring_index(F.col("path"), "/", -1))
 
 
-def check_id(blob_path: Column, modified: Column) -> Column:
-    """Id of a check: one per file and time of change, the same on a retry."""
-    return F.xxhash64(blob_path, modified)
+def check_id(blob_path: Column, modified: Column, run_id: str = "") -> Column:
+    """Id of a check: one per file, time of change and run, so the same when the run is retried."""
+    return F.xxhash64(blob_path, modified, F.lit(run_id))

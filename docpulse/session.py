@@ -54,12 +54,12 @@ def local_session(cpus: int | str = 8, **extra: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names for intermediate data.
 
-    A local session without one gets a temporary folder; on a cluster a missing setting is an
-    error, because a machine-local folder would not survive the loss of an executor.
+    A session within one JVM (local[...]) without one gets a temporary folder; otherwise a missing
+    setting is an error, because a machine-local folder would not survive the loss of an executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="docpulse-")
         spark.conf.set("spark.checkpoint.dir", named)
@@ -71,6 +71,12 @@ def staging_dir(spark: SparkSession, out: str, run_id: str) -> str:
     return f"{shared_dir(spark)}/docpulse-staging/{hashlib.md5(out.encode()).hexdigest()[:12]}/{run_id}"
 
 
+def clear_staging(spark: SparkSession, out: str, run_id: str) -> None:
+    """Delete the intermediate tables of a run whose tables are published."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staging_dir(spark, out, run_id))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df, spark: SparkSession | None = None):
     """Write ``df`` to the shared folder and go on from there."""
     spark = spark or df.sparkSession

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -11,6 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_GLOB = "*.[jJ][sS][oO][nN]"
+RAW = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+# The longest text or byte array a row can hold is below 2 GiB; a text needs some room to be decoded.
+LONGEST_TEXT = 1 << 30
 
 
 def root_path(spark: SparkSession, src: str) -> str:
@@ -30,23 +34,69 @@ def relative_path(full: Column, root: str, encoded: bool) -> Column:
     return F.substring(plain, F.lit(len(root) + 2), F.length(plain))
 
 
-def _results(reader, spark: SparkSession, src: str, where: str | list[str]) -> DataFrame:
-    rows = reader(where, wholetext=True, recursiveFileLookup=True, pathGlobFilter=RESULT_GLOB)
+def located(src: str, paths: list[str] | None) -> str | list[str]:
+    """``src`` or files below it, for a reader: a name is that name, whatever glob signs it has."""
+    if paths is None:
+        return src
+    return [f"{src.rstrip('/')}/" + re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+
+
+def read_results(spark: SparkSession, src: str, paths: list[str] | None = None) -> DataFrame:
+    """Result files below ``src`` (or just ``paths`` of it) as ``path, value``."""
+    rows = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True).text(
+        located(src, paths), wholetext=True, recursiveFileLookup=True, pathGlobFilter=RESULT_GLOB)
     return rows.select(
         relative_path(F.col("_metadata.file_path"), root_path(spark, src), True).alias("path"), "value"
     )
 
 
-def read_results(spark: SparkSession, src: str, paths: list[str] | None = None) -> DataFrame:
-    """Result files below ``src`` (or just ``paths`` of it) as ``path, value``."""
-    where = [f"{src.rstrip('/')}/{p}" for p in paths] if paths is not None else src
-    return _results(spark.read.text, spark, src, where)
+def read_listed_results(spark: SparkSession, src: str, listed: DataFrame) -> DataFrame:
+    """Texts of listed files (``path, length``): every file has a row, NULL where it cannot be read.
+
+    The paths are those of one batch, whose size the trigger bounds.
+    """
+    paths = [r.path for r in listed.filter(F.col("length") <= LONGEST_TEXT).select("path").collect()]
+    if not paths:
+        return listed.select("path", F.lit(None).cast("string").alias("value"))
+    return listed.select("path").join(read_results(spark, src, paths), "path", "left")
 
 
-def stream_results(spark: SparkSession, src: str, max_files: int) -> DataFrame:
-    """Result files as a stream, at most ``max_files`` per batch."""
-    reader = spark.readStream.option("maxFilesPerTrigger", max_files).text
-    return _results(reader, spark, src, src)
+def stream_listing(spark: SparkSession, src: str, max_files: int, names: str | None = None) -> DataFrame:
+    """New files below ``src`` as ``path, modificationTime, length``, at most ``max_files`` per batch.
+
+    No byte is read, so a file of any size passes. Empty files do not appear: see :func:`empty_files`.
+    """
+    reader = spark.readStream.schema(RAW).option("maxFilesPerTrigger", max_files)
+    if names is not None:
+        reader = reader.option("pathGlobFilter", names)
+    return _raw(reader, spark, src, src).select("path", "modificationTime", "length")
+
+
+def read_contents(spark: SparkSession, src: str, paths: list[str], longest: int) -> DataFrame:
+    """Bytes of the given files up to ``longest`` bytes; files that cannot be read have no row."""
+    if not paths:
+        return spark.createDataFrame([], RAW)
+    reader = spark.read.option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+    return _raw(reader, spark, src, located(src, paths)).filter(F.col("length") <= longest)
+
+
+def empty_files(spark: SparkSession, src: str) -> DataFrame:
+    """Files of no bytes below ``src`` as ``path, modificationTime, length``: file sources leave them out.
+
+    Mounted folders are listed in tasks. Other stores are listed here, as the file stream does
+    itself, and only the empty files are kept.
+    """
+    if urlsplit(src).scheme in ("", "file"):
+        found = list_files(spark, src).filter("is_file AND length = 0")
+        return found.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), "length")
+    jvm, root, rows = spark.sparkContext._jvm, root_path(spark, src), []
+    where = jvm.org.apache.hadoop.fs.Path(src)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0:
+            rows.append((status.getPath().toUri().getPath()[len(root) + 1:], None, 0))
+    return spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT")
 
 
 def _raw(reader, spark: SparkSession, src: str, where) -> DataFrame:
@@ -63,25 +113,16 @@ def read_raw(
     """
     root = src.rstrip("/")
     if paths is not None:
-        return _raw(spark.read, spark, src, [f"{root}/{p}" for p in paths])
+        return _raw(spark.read, spark, src, located(src, paths))
     folder = prefix.rpartition("/")[0] if prefix else ""
     rows = _raw(spark.read, spark, src, f"{root}/{folder}" if folder else root)
     return rows.filter(F.col("path").startswith(prefix)) if prefix else rows
 
 
-def stream_raw(spark: SparkSession, src: str, max_files: int) -> DataFrame:
-    """Raw files as a stream, at most ``max_files`` per batch."""
-    schema = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    return _raw(reader, spark, src, src)
-
-
 def read_images(spark: SparkSession, src: str, paths: list[str] | None = None) -> DataFrame:
     """Images below ``src`` as ``path, image``; undecodable ones have a height of -1."""
-    root = src.rstrip("/")
-    where = [f"{root}/{p}" for p in paths] if paths is not None else root
-    rows = spark.read.format("image").option("recursiveFileLookup", True).load(where)
-    origin = relative_path(F.col("image.origin"), root_path(spark, src), False)
+    rows = spark.read.format("image").option("recursiveFileLookup", True).load(located(src, paths))
+    origin = relative_path(F.col("image.origin"), root_path(spark, src), True)
     return rows.select(origin.alias("path"), "image")
 
 

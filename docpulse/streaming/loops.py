@@ -12,10 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
-from docpulse.plans.gate import batch_images, check_batch, links_of
-from docpulse.plans.ingest import ingest_batch
+from docpulse.plans.gate import check_batch, check_empty, check_listed, links_of
+from docpulse.plans.ingest import ingest_batch, ingest_empty
 from docpulse.session import configure
-from docpulse.sources.files import read_results, stream_raw, stream_results
+from docpulse.sources.files import RESULT_GLOB, read_listed_results, read_results, stream_listing
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, name: str) -> StreamingQuery:
@@ -37,9 +37,20 @@ def start_ingest(
     spark: SparkSession, src: str, out: str, checkpoint: str, max_files: int = C.INGEST_MAX_FILES,
     name: str = "ingest",
 ) -> StreamingQuery:
-    """Ingest the result files that are new below ``src``, ``max_files`` per batch, then stop."""
+    """Ingest the result files that are new below ``src``, ``max_files`` per batch, then stop.
+
+    The stream hands out listings; a file is read in its batch, so that one which cannot be read is
+    an error row and not the end of the stream. Empty files, which streams leave out, come first.
+    """
     configure(spark)
-    return ingest_stream(stream_results(spark, src, max_files), out, checkpoint, name)
+    ingest_empty(spark, src, out, name)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        files = read_listed_results(spark, src, batch)
+        ingest_batch(files, out, run_id(name, number), links_of(spark, out))
+
+    return _start(stream_listing(spark, src, max_files, RESULT_GLOB), handle, checkpoint, name)
 
 
 def ingest_stream(stream: DataFrame, out: str, checkpoint: str, name: str = "ingest") -> StreamingQuery:
@@ -65,28 +76,26 @@ def start_quality(
     """Check the raw files that are new below ``src``, ``max_files`` per batch, then stop.
 
     ``file_metrics`` and ``page_metrics`` are tables the inspectors fill; files they do not know
-    yet get a notice instead of the deep checks.
+    yet get a notice instead of the deep checks. The stream hands out listings; bytes are read in the
+    batch, of files within the limits. Empty files, which streams leave out, are checked first.
     """
     configure(spark)
-    images = lambda batch: batch_images(batch.sparkSession, src, batch, max_files)
-    return quality_stream(
-        stream_raw(spark, src, max_files), out, checkpoint, mode, limits, file_metrics, page_metrics,
-        images, name,
-    )
+    check_empty(spark, src, out, name, mode, limits)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        check_listed(batch.sparkSession, src, batch, out, run_id(name, number), mode, limits, file_metrics, page_metrics)
+
+    return _start(stream_listing(spark, src, max_files), handle, checkpoint, name)
 
 
 def quality_stream(
     stream: DataFrame, out: str, checkpoint: str, mode: str = "standard", limits: Limits = LIMITS,
-    file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None, images=None,
-    name: str = "quality",
+    file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None, name: str = "quality",
 ) -> StreamingQuery:
     """Check a stream of raw files (``path, modificationTime, length, content``), whatever its
-    source; ``images`` gives the image features of a batch."""
+    source; images get the notice that they were not inspected."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        check_batch(
-            batch, out, run_id(name, number), mode, limits, None, file_metrics, page_metrics,
-            images(batch) if images else None,
-        )
+        check_batch(batch, out, run_id(name, number), mode, limits, None, file_metrics, page_metrics)
 
     return _start(stream, handle, checkpoint, name)

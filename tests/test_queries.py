@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from workload import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,10 +21,11 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
     df = queries()[name](spark, SF)
     columns = sorted(df.columns)

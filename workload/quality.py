@@ -138,11 +138,11 @@ def text_decode(spark, sf_dir):
     return decode_text(rows, F.lit(True))
 
 
-@query("""SELECT doc_id, CAST(CEIL((n_chars - 40) / 3000.0) AS BIGINT) AS docx_pages, GREATEST(1, CAST(CEIL(n_chars / 3000.0) AS BIGINT)) AS text_pages
-FROM documents WHERE n_chars >= 40""")
+@query("""SELECT doc_id, CAST(CEIL(GREATEST(n_chars - 40, 0) / 3000.0) AS BIGINT) AS docx_pages, GREATEST(1, CAST(CEIL(n_chars / 3000.0) AS BIGINT)) AS text_pages
+FROM documents""")
 def page_equivalent(spark, sf_dir):
-    rows = S.table(spark, sf_dir, "documents").filter("n_chars >= 40")
-    return rows.select("doc_id", pages_of(F.col("n_chars") - 40, 3000).alias("docx_pages"), pages_of(F.col("n_chars"), 3000, 1).alias("text_pages"))
+    rows = S.table(spark, sf_dir, "documents")
+    return rows.select("doc_id", pages_of(F.greatest(F.col("n_chars") - 40, F.lit(0)), 3000).alias("docx_pages"), pages_of(F.col("n_chars"), 3000, 1).alias("text_pages"))
 
 
 # --- G13..G18 -------------------------------------------------------------------------------
