@@ -29,7 +29,7 @@ def current_documents(documents: DataFrame) -> DataFrame:
 
 def surviving_children(children: DataFrame, parents: DataFrame, keys: list[str]) -> DataFrame:
     """Child rows whose parent is still there."""
-    return children.join(parents.select(*keys).distinct(), keys, "left_semi")
+    return children.join(parents.select(*keys), keys, "left_semi")
 
 
 def current_fields(fields: DataFrame, current: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 A step opens every container by one level and lets leaves pass, so a chain of steps is one narrow
 stage: no join, no union, no shuffle, no Python. The chain covers ``levels`` levels; trees that go
-deeper leave container rows over, which ``flatten_all`` opens in further rounds on just these.
+deeper leave container rows over, which ``plans.ingest.stage`` opens in further rounds on just these.
 
 Containers are of kind ``root``, ``object`` (an entry of a map), ``item`` (an object in a list) or
 ``array``. One whose value is not of its kind becomes ``odd_...`` and is judged at the end: most
@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 
 from docpulse.functions.variants import is_number_or_true, truthy
 from docpulse.operators.parse import NODE, explode_variant
-from docpulse.session import cut
 
 LEVELS = 6
 
@@ -110,17 +109,3 @@ def flatten_nodes(nodes: DataFrame, levels: int = LEVELS) -> DataFrame:
 def remaining(nodes: DataFrame) -> DataFrame:
     """Containers a chain of steps did not reach."""
     return nodes.filter(CONTAINER)
-
-
-def flatten_all(nodes: DataFrame, levels: int = LEVELS) -> DataFrame:
-    """Flatten completely, whatever the depth.
-
-    Each round is written to the shared folder, then only its left-over containers go on. Usual
-    files need one round.
-    """
-    done = cut(flatten_nodes(nodes, levels))
-    out = done.filter(f"NOT ({CONTAINER})")
-    while not remaining(done).isEmpty():
-        done = cut(flatten_nodes(remaining(done), levels))
-        out = out.unionByName(done.filter(f"NOT ({CONTAINER})"))
-    return out

@@ -9,15 +9,25 @@ from docpulse.functions.text import ci_key
 from docpulse.plans.views import version_keys
 
 
-def _under(path: Column, prefix: str) -> Column:
-    """Path below a prefix; the exact spelling test is the one that reaches the scan."""
-    return path.startswith(prefix) | F.lower(path).startswith(prefix.lower())
+def _key(documents: DataFrame) -> Column:
+    """Path without regard to case: the stored key, on which a filter reaches the scan, where there is one."""
+    return F.col("path_key") if "path_key" in documents.columns else ci_key("blob_path")
+
+
+def _under(documents: DataFrame, prefix: str) -> DataFrame:
+    """Documents below a prefix."""
+    return documents.filter(_key(documents).startswith(prefix.lower()))
+
+
+def _at(documents: DataFrame, blob_path: str) -> DataFrame:
+    """Documents of one path."""
+    return documents.filter(_key(documents) == blob_path.rstrip(" ").lower())
 
 
 def documents_by_path(documents: DataFrame, prefix: str) -> DataFrame:
     """Documents below a path, newest first."""
     return (
-        documents.filter(_under(F.col("blob_path"), prefix))
+        _under(documents, prefix)
         .select(
             "document_id", "usecase", "analyzer_name", "document_name", "status", "field_count",
             "avg_confidence", "processed_blob_url", "ingested_at",
@@ -31,7 +41,7 @@ def top_fields(
 ) -> DataFrame:
     """First fields below a path, by document and field path."""
     keys = version_keys(fields, documents)
-    d = documents.filter(_under(F.col("blob_path"), prefix)).select(*keys, "document_name")
+    d = _under(documents, prefix).select(*keys, "document_name")
     f = fields.select(
         *keys, "field_path", "field_type", "value_string", "value_number", "confidence"
     )
@@ -49,7 +59,7 @@ def top_fields(
 def latest_document(documents: DataFrame, blob_path: str) -> DataFrame:
     """Newest document of one path."""
     return (
-        documents.filter(ci_key("blob_path") == ci_key(F.lit(blob_path)))
+        _at(documents, blob_path)
         .orderBy(F.desc("ingested_at"), F.desc("document_id"))
         .limit(1)
         .select(
@@ -62,7 +72,7 @@ def latest_document(documents: DataFrame, blob_path: str) -> DataFrame:
 def field_rows(fields: DataFrame, documents: DataFrame, blob_path: str) -> DataFrame:
     """Number of field rows of one path."""
     keys = version_keys(fields, documents)
-    d = documents.filter(ci_key("blob_path") == ci_key(F.lit(blob_path))).select(*keys)
+    d = _at(documents, blob_path).select(*keys)
     return fields.select(*keys).join(d, keys, "inner").agg(F.count(F.lit(1)).alias("field_rows"))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from docpulse import constants as C
 from docpulse.functions.paths import parse_result_paths
+from docpulse.functions.text import ci_key
 from docpulse.operators.documents import backlink, constraint_violations, finalize_stats
 from docpulse.operators.flatten import CONTAINER, LEVELS, flatten_nodes, judge_odd, open_level
 from docpulse.operators.gate import quarantine_rows, routing_manifest
@@ -118,6 +119,7 @@ def ingest_batch(
         # A file with a refused document stays unprocessed, its good documents are kept.
         "processed_blob_url": F.regexp_replace("blob_path", f"^{C.SOURCE}/", f"{C.PROCESSED}/"),
         "ingested_at": now,
+        "path_key": ci_key("blob_path"),
         "preprocess_check_id": F.lit(None).cast("bigint"),
     }).join(failed.withColumn("__failed", F.lit(True)), "blob_path", "left").withColumn(
         "processed_blob_url", F.when(F.col("__failed").isNull(), F.col("processed_blob_url")))

@@ -13,7 +13,7 @@ DOCUMENTS = """
     mime_type STRING, source_created_at TIMESTAMP, api_version STRING, operation_id STRING,
     status STRING, field_count INT, avg_confidence DECIMAL(5,4), min_confidence DECIMAL(5,4),
     max_confidence DECIMAL(5,4), ingested_at TIMESTAMP, preprocess_check_id BIGINT, pos INT,
-    run_id STRING"""
+    path_key STRING, run_id STRING"""
 
 FIELDS = """
     field_id BIGINT, document_id BIGINT, version_id BIGINT, field_path STRING, field_name STRING,

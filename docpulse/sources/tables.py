@@ -73,9 +73,13 @@ def issues(spark: SparkSession, out: str, current: DataFrame | None = None) -> D
 
 
 def register(spark: SparkSession, out: str) -> dict[str, DataFrame]:
-    """Register the nine reporting views over the current state."""
+    """Register the nine reporting views over the current state.
+
+    The views join fields with the current documents by version, which leaves out the fields of
+    replaced versions by itself: they get the stored fields as they are.
+    """
     d, c = documents(spark, out), checks(spark, out)
-    return register_views(spark, d, fields(spark, out, d), c, issues(spark, out, c))
+    return register_views(spark, d, read_table(spark, out, "fields"), c, issues(spark, out, c))
 
 
 def save_bucketed(df: DataFrame, name: str, key: str = "document_id", buckets: int = 64) -> None:

@@ -4,9 +4,10 @@ import random
 import pytest
 from walker import rows_of
 
-from docpulse.operators.flatten import flatten_all, flatten_nodes, remaining
+from docpulse.operators.flatten import flatten_nodes, remaining
 from docpulse.operators.leaf import decode_leaves
 from docpulse.operators.parse import parse_results
+from docpulse.plans.ingest import stage
 
 PROBE = {
     "id": "op-1", "status": "succeeded",
@@ -102,11 +103,12 @@ def deep_tree(depth):
     return {"root": node}
 
 
-def test_any_depth(spark):
+def test_any_depth(spark, folder):
     trees = [deep_tree(d) for d in (0, 1, 2, 5, 6, 7, 13, 25)]
     nodes = parse_results(files(spark, [{"fieldLabels": t} for t in trees]), "r")
     assert remaining(flatten_nodes(nodes, 4)).count() == 5
-    got = sorted(r.field_path for r in flatten_all(nodes, 4).filter("kind = 'leaf'").collect())
+    staged = stage(files(spark, [{"fieldLabels": t} for t in trees]), folder, "r", levels=4)
+    got = sorted(r.field_path for r in staged.filter("kind = 'leaf'").collect())
     assert got == sorted(row[0] for t in trees for row in rows_of(t))
 
 

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from docpulse.operators.flatten import flatten_nodes
 from docpulse.operators.leaf import decode_leaves
 from docpulse.operators.parse import parse_results
-from docpulse.plans import views
+from docpulse.plans import adhoc, views
+from docpulse.plans.ingest import ingest_batch
+from docpulse.sources import tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -54,3 +56,19 @@ def test_hot_document_is_split(spark, folder):
     finally:
         for key, value in keep.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_path_prefix_reaches_the_scan(spark, folder):
+    ingest_batch(spark.createDataFrame([("U/a/x.json", '{"fieldLabels":{"f":{"valueString":"x"}}}')], "path STRING, value STRING"), folder, "r1")
+    found = adhoc.documents_by_path(tables.documents(spark, folder), "SOURCE/u/")
+    assert found.count() == 1
+    assert "StringStartsWith(path_key,source/u/)" in plan_of(found)
+    assert "EqualTo(path_key,source/u/a/x.json)" in plan_of(adhoc.latest_document(tables.documents(spark, folder), "source/U/a/x.json"))
+
+
+def test_fields_view_joins_documents_once(spark, folder):
+    ingest_batch(spark.createDataFrame([("u/a/x.json", '{"fieldLabels":{"f":{"valueString":"x"}}}')], "path STRING, value STRING"), folder, "r1")
+    view = tables.register(spark, folder)["vw_DocumentFields"]
+    assert view.count() == 1
+    plan = view._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 2  # with the documents, and their choice of versions
