@@ -190,7 +190,8 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         kinds = [pa.int64()] * 4 + [pa.binary()] * 2
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["kmer", "context", "n", "m", "lefts", "rights"])
 
-    rows = found.mapInArrow(sides, "kmer long, context long, n long, m long, lefts binary, rights binary")
+    # written once: crowded buckets and the others both read it
+    rows = stored(found.mapInArrow(sides, "kmer long, context long, n long, m long, lefts binary, rights binary"), "sides")
     buckets = rows.filter(F.col("m") <= BUCKET).repartition("kmer").sortWithinPartitions("kmer")
 
     def scan(batches):
