@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
-from docpulse.functions.paths import checked_extension, detect_kind
+from docpulse.functions.paths import checked_extension, detect_kind, parse_raw_paths
 from docpulse.operators.checks import check_rows, issue_rows
 from docpulse.operators.gate import (
-    outcome_patches, raw_manifest, rejection_errors, result_links, route_outcomes,
+    batch_summary, outcome_patches, raw_manifest, rejection_errors, result_links, route_outcomes,
 )
 from docpulse.operators.pixels import image_features, image_size
 from docpulse.plans.quality import check_files, content_features, file_rows
@@ -38,6 +38,10 @@ def check_batch(
     now = F.date_trunc("millisecond", F.current_timestamp())
     publish(issue_rows(checked), out, "issues", run_id)
     publish(check_rows(checked, now), out, "checks", run_id)
+    paths = (content if manifest is None else manifest).select("path")
+    misplaced = paths.join(parse_raw_paths(paths).select("path"), "path", "left_anti")
+    publish(batch_summary(checked.select(F.lit("processed").alias("outcome")).unionByName(
+        misplaced.select(F.lit("skipped").alias("outcome")))), out, "batches", run_id)
     clear_staging(spark, out, run_id)
 
 

@@ -17,7 +17,7 @@ from docpulse.functions.paths import parse_result_paths
 from docpulse.functions.text import ci_key
 from docpulse.operators.documents import backlink, constraint_violations, finalize_stats
 from docpulse.operators.flatten import CONTAINER, LEVELS, flatten_nodes, judge_odd, open_level
-from docpulse.operators.gate import quarantine_rows, routing_manifest
+from docpulse.operators.gate import batch_summary, quarantine_rows, routing_manifest
 from docpulse.operators.leaf import decode_leaves
 from docpulse.operators.parse import FILE, HEADER, NODE, parse_results
 from docpulse.session import clear_staging, configure, staging_dir
@@ -79,6 +79,7 @@ def ingest_batch(
 ) -> dict[str, int]:
     """Ingest ``files`` (``path, value``) as run ``run_id`` into the tables below ``out``.
 
+    Returns the files processed, failed, skipped (of another layout) and deferred, stored as a row of ``batches``.
     A bad file never stops the batch: it is left out as a whole and logged; a document the fixed
     types cannot hold is left out alone. Fields are published before documents, and are only ever
     read through them, so a half-written run is invisible.
@@ -128,10 +129,17 @@ def ingest_batch(
             "preprocess_check_id",
             F.when(F.col("processed_blob_url").isNotNull(), F.col("preprocess_check_id")))
     publish(done, out, "documents", run_id)
-    row = read_table(spark, out, "manifest").filter(F.col("run_id") == run_id).agg(
-        F.count_if(F.col("disposition") == C.PROCESSED).alias("processed"),
-        F.count_if(F.col("disposition") == C.FAILED).alias("failed")).first()
+    routed = read_table(spark, out, "manifest").filter(F.col("run_id") == run_id).select(F.when(
+        F.col("disposition") == C.PROCESSED, "processed").otherwise("failed").alias("outcome"))
+    misplaced = files.select("path").join(parse_result_paths(files.select("path")).select("path"), "path", "left_anti")
+    publish(batch_summary(routed.unionByName(misplaced.select(F.lit("skipped").alias("outcome")))), out, "batches", run_id)
     clear_staging(spark, out, run_id)
+    return summary(spark, out, run_id)
+
+
+def summary(spark, out: str, run_id: str) -> dict[str, int]:
+    """Files of a run by what became of them; a stream defers none, it hands them to a later batch."""
+    row = read_table(spark, out, "batches").filter(F.col("run_id") == run_id).drop("run_id").first()
     return row.asDict()
 
 

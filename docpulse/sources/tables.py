@@ -19,11 +19,12 @@ PATCHES = "check_id BIGINT, submitted_to_cu BOOLEAN, " + ", ".join(
     f"{c} STRING" for c in OUTCOME_COLUMNS) + ", completed_at TIMESTAMP, run_id STRING"
 MANIFEST = ("src_path STRING, dest_path STRING, disposition STRING, sidecar_path STRING, "
             "sidecar_text STRING, run_id STRING")
+BATCHES = "processed BIGINT, failed BIGINT, skipped BIGINT, deferred BIGINT, run_id STRING"
 
 TABLES = {
     "documents": schemas.DOCUMENTS, "fields": schemas.FIELDS, "errors": schemas.ERRORS,
     "checks": schemas.CHECKS, "issues": schemas.ISSUES, "links": schemas.LINKS,
-    "patches": PATCHES, "manifest": MANIFEST,
+    "patches": PATCHES, "manifest": MANIFEST, "batches": BATCHES,
 }
 
 

@@ -135,7 +135,7 @@ def test_ingest_stream_replay_and_isolation(spark, folder):
     assert state() == first
     write(src, "u+ v/a/x.json", probe("A-200"))
     for _ in range(2):
-        assert ingest_paths(spark, src, ["u+ v/a/x.json"], out, "redo") == {"processed": 1, "failed": 0}
+        assert ingest_paths(spark, src, ["u+ v/a/x.json"], out, "redo") == {"processed": 1, "failed": 0, "skipped": 0, "deferred": 0}
     assert state() == first[:2] + [("source/u+ v/a/x.json", "Id", "A-200")]
     assert T.read_table(spark, out, "fields").filter("run_id = 'redo'").count() == 1
 
@@ -229,11 +229,13 @@ def test_ingest_accounts_for_every_file(spark, folder):
         assert moved == [("source/u/a/empty.json", "failed"), ("source/u/a/good.json", "processed"),
                          ("source/u/a/seven.json", "processed"), ("source/u/a/x[1]{2}*.json", "processed")]
         assert sorted(r.blob_path for r in T.documents(spark, out).collect()) == ["source/u/a/good.json", "source/u/a/x[1]{2}*.json"]
+    total = T.read_table(spark, out, "batches").groupBy().sum("processed", "failed", "skipped").first()
+    assert tuple(total) == (3, 1, 1)  # every file of the folder, each once
 
 
 def test_unreadable_results_are_errors(spark, folder):
     files = spark.createDataFrame([("u/a/x.json", None), ("u/a/y.json", probe())], "path STRING, value STRING")
-    assert ingest_batch(files, folder, "r1") == {"processed": 1, "failed": 1}
+    assert ingest_batch(files, folder, "r1") == {"processed": 1, "failed": 1, "skipped": 0, "deferred": 0}
     assert [(r.blob_path, r.error_kind) for r in T.read_table(spark, folder, "errors").collect()] == [("source/u/a/x.json", "ReadError")]
 
 
@@ -261,6 +263,8 @@ def test_quality_accounts_for_every_file(spark, folder):
         assert codes == {"empty.txt": {"FILE_EMPTY"}, "scan[1].png": {"IMAGE_OPEN_FAILED"}, "huge.png": {"IMAGE_TOO_LARGE"},
                          "large.pdf": {"FILE_TOO_LARGE", "PDF_DEEP_CHECK_SKIPPED"}}
         assert sorted(r.file_name for r in T.checks(spark, out).collect()) == ["empty.txt", "good.txt", "huge.png", "large.pdf", "scan[1].png"]
+    total = T.read_table(spark, out, "batches").groupBy().sum("processed", "skipped").first()
+    assert tuple(total) == (5, 1)
 
 
 def test_checking_again_adds_checks(spark, folder):
