@@ -12,9 +12,11 @@ import json
 import os
 import tempfile
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import SparkFiles
@@ -48,6 +50,8 @@ class WordBpe:
         self.token = {i: t for t, i in self.vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.token |= {i: t for t, i in self.special.items()}
+        pairs = sorted((a << IDS | b, value) for (a, b), value in self.rank.items())
+        self.pairs, self.values = (np.array(c, np.int64) for c in zip(*pairs))
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.find = regex.compile(split["pattern"]["Regex"], regex.V0).findall
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -98,6 +102,43 @@ class WordBpe:
                 ranks[i] = rank((s[i], s[i + 1]), NONE)
         return s
 
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        wanted = a << IDS | b
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.values[at], NONE)
+
+    def merge_many(self, words: list[bytes]) -> dict[bytes, list[int]]:
+        """Ids of many words: those of one length are merged together, a pair of each at a time."""
+        by_size, out = defaultdict(list), {}
+        for w in words:
+            by_size[len(w)].append(w)
+        inner, last = np.array(self.inner), np.array(self.last)
+        for size, own in by_size.items():
+            if size > 48 or len(own) < 8:
+                out.update((w, self.merge(w)) for w in own)
+                continue
+            own = np.array(own, dtype=object)
+            data = np.frombuffer(b"".join(own), np.uint8).reshape(-1, size)
+            s = inner[data]
+            s[:, -1] = last[data[:, -1]]
+            r = self._ranks(s[:, :-1], s[:, 1:])
+            while len(own):
+                n, size = s.shape
+                each, at = np.arange(n), r.argmin(1) if size > 1 else np.zeros(n, np.int64)
+                best = r[each, at] if size > 1 else np.full(n, NONE)
+                more = best != NONE
+                out.update(zip(own[~more].tolist(), s[~more].tolist()))
+                own, s, r, at, best = own[more], s[more], r[more], at[more], best[more]
+                each, column = np.arange(len(own)), np.arange(size)
+                s = np.take_along_axis(s, column[None, :-1] + (column[:-1] > at[:, None]), 1)
+                s[each, at] = best & ((1 << IDS) - 1)
+                r = np.take_along_axis(r, column[None, :-2] + (column[:-2] >= at[:, None]), 1)
+                i = np.flatnonzero(at > 0)
+                r[i, at[i] - 1] = self._ranks(s[i, at[i] - 1], s[i, at[i]])
+                i = np.flatnonzero(at < size - 2)
+                r[i, at[i]] = self._ranks(s[i, at[i]], s[i, at[i] + 1])
+        return out
+
     def _merge_long(self, s: list[int]) -> list[int]:
         """The same with a heap of pairs over linked symbols, for words of any length."""
         left, right = list(range(-1, len(s) - 1)), list(range(1, len(s) + 1))
@@ -132,36 +173,55 @@ class Encoder:
     def __init__(self, bpe: WordBpe, lexicon: Lexicon | None):
         self.bpe, self.lexicon, self.seen, self.older = bpe, lexicon, {}, {}
 
-    def chunk(self, chunk: str) -> list[int]:
-        ids = self.older.get(chunk)
-        if ids is None:
-            ids = []
-            words = self.bpe.words(chunk)
-            for word in words:
-                known = self.seen.get(word)
+    def learn(self, chunks: set[str]) -> None:
+        """Ids of chunks not seen yet: their words are looked up, those not found are merged together."""
+        if len(self.seen) > KEPT:
+            self.seen, self.older = {}, self.seen
+        seen, older, words = self.seen, self.older, self.bpe.words
+        spelled = {}
+        for chunk in chunks:
+            if chunk not in seen:
+                known = older.get(chunk)
                 if known is None:
-                    known = self.word(word.encode())
-                    if len(word) <= 64:
-                        self.seen[word] = known
-                ids = ids + known
-        if len(chunk) <= 64:
-            if len(self.seen) >= KEPT:
-                self.seen, self.older = {}, self.seen
-            self.seen[chunk] = ids
-        return ids
-
-    def word(self, word: bytes) -> list[int]:
-        return (self.lexicon and self.lexicon.get(word)) or self.bpe.merge(word)
+                    spelled[chunk] = words(chunk)
+                else:
+                    seen[chunk] = known
+        new = {w for own in spelled.values() for w in own if w not in seen}
+        unseen = []
+        for word in new:
+            known = older.get(word)
+            if known is None and self.lexicon:
+                known = self.lexicon.get(word.encode())
+                known = known and tuple(known)
+            if known is None:
+                unseen.append(word.encode())
+            else:
+                seen[word] = known
+        for word, ids in self.bpe.merge_many(unseen).items():
+            seen[word.decode()] = tuple(ids)  # tuples of numbers cost the garbage collector nothing
+        for chunk, own in spelled.items():
+            if len(own) != 1 or own[0] != chunk:
+                seen[chunk] = tuple(chain.from_iterable([seen[word] for word in own]))
 
     def encode(self, text: str) -> list[int]:
-        out = []
-        for special, part in self.bpe.segments(text):
-            if special is not None:
-                out.append(special)
-                continue
-            for chunk in self.bpe.chunks(part):
-                ids = self.seen.get(chunk)
-                out += self.chunk(chunk) if ids is None else ids
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        split = [[(special, self.bpe.chunks(part)) for special, part in self.bpe.segments(text)] for text in texts]
+        chunks = {c for parts in split for _, part in parts for c in part}
+        self.learn(chunks)
+        out, seen = [], self.seen
+        for parts in split:
+            ids = []
+            for special, part in parts:
+                if special is not None:
+                    ids.append(special)
+                for chunk in part:
+                    ids += seen[chunk]
+            out.append(ids)
+        for chunk in chunks:
+            if len(chunk) > 64:  # long ones are rare and would fill the memory
+                seen.pop(chunk, None)
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -248,7 +308,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
         encoder = Encoder(WordBpe(spec.value), Lexicon(SparkFiles.get(name)))
         for batch in batches:
             for start, texts in pieces(batch.column(1)):
-                ids = [encoder.encode(t) for t in texts]
+                ids = encoder.encode_all(texts)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.list_(pa.int32())),
                      pa.array([encoder.decode(i) for i in ids], pa.string())], [id_col, "ids", "decoded"])

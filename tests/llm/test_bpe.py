@@ -38,6 +38,23 @@ def test_merge_of_long_words():
         assert bpe.merge(word) == bpe._merge_long(symbols)
 
 
+def test_merging_many_words():
+    bpe = WordBpe(open(PATH, encoding="utf-8").read())
+    r = random.Random(6)
+    words = list({"".join(r.choice("aeinrsté") for _ in range(r.randint(1, 30))).encode() for _ in range(3000)}) + [b"x" * 60]
+    assert bpe.merge_many(words) == {w: bpe.merge(w) for w in words}
+
+
+def test_memory_of_chunks(library, monkeypatch):
+    monkeypatch.setattr("docpulse.llm.bpe.KEPT", 20)
+    encoder = Encoder(WordBpe(open(PATH, encoding="utf-8").read()), None)
+    r = random.Random(7)
+    for _ in range(40):
+        text = " ".join("".join(r.choice("abc,") for _ in range(r.choice((2, 3, 90)))) for _ in range(30))
+        assert encoder.encode_all([text, text])[1] == library.encode(text, add_special_tokens=False).ids
+    assert max(map(len, encoder.seen)) <= 90
+
+
 def test_table(docs, library):
     rows = [*enumerate(ODD), (None, None), (3, ODD[3]), (3, "other")]
     for words in (0, 5, 1000):
