@@ -129,7 +129,7 @@ def _views(batch: pa.RecordBatch, text_col: str, meta: list[str]):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          meta: tuple[str, str, str] = ("lang", "source", "n_chars"), labelled: int = 12_000, pool: int = 12_000,
+          meta: tuple[str, str, str] = ("lang", "source", "n_chars"), labelled: int = 8_000, pool: int = 8_000,
           rounds: int = 3, share: float = 0.1) -> CoTrained | float:
     """The classifier, from ``labelled`` labelled documents and a ``pool`` of unlabelled ones at most, by order of hash.
 
