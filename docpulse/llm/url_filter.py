@@ -53,11 +53,12 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     period = lambda day: F.floor(F.unix_date(F.to_date(day)) / period_days)
     rows = rows.withColumn("__period", period(F.col(fetched_col)))
     asked = rows.withColumn("__key", F.explode_outer(F.when(F.col("host").isNotNull(), parents)))
-    span = captures.agg(F.min(F.to_date(fetched_col)).alias("__first"), F.max(F.to_date(fetched_col)).alias("__last"))
-    valid = (intervals(entries).join(F.broadcast(span))  # one row
-             .filter((F.to_date("since") <= F.col("__last")) & (F.coalesce("until", F.col("__last")) >= F.col("__first")))
+    first, last = captures.agg(F.min(F.to_date(fetched_col)), F.max(F.to_date(fetched_col))).first()
+    first, last = F.lit(first).cast("date"), F.lit(last).cast("date")
+    valid = (intervals(entries)
+             .filter((F.to_date("since") <= last) & (F.coalesce("until", last) >= first))
              .withColumn("__period", F.explode(F.sequence(
-                 period(F.greatest("since", "__first")), period(F.least(F.coalesce("until", "__last"), "__last")))))
+                 period(F.greatest("since", first)), period(F.least(F.coalesce("until", last), last)))))
              .select(F.col("listed_host").alias("__key"), "__period", "since", "until", F.lit(True).alias("__hit")))
     met = asked.alias("a").join(valid.alias("v"), (
         (F.col("a.__key") == F.col("v.__key")) & (F.col("a.__period") == F.col("v.__period"))
