@@ -151,6 +151,12 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 
+def whole(vector, times: int = 256):
+    """Components times ``times``, rounded down; what has no fraction (large, NaN, infinite) stays as it is."""
+    scaled = F.transform(vector, lambda c: c.cast("double") * times)
+    return F.transform(scaled, lambda c: F.when(F.abs(c) < 2.0**53, F.floor(c).cast("double")).otherwise(c))
+
+
 @query("""
     WITH v AS (
         SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
@@ -165,6 +171,5 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
 """)
 def op10_topk(spark, sf_dir):
     """The five best of all vectors for every query vector."""
-    v = table(spark, sf_dir, "embeddings").select("vec_id", F.transform(
-        "embedding", lambda c: F.floor(256 * c.cast("double")).cast("double")).alias("embedding"))
+    v = table(spark, sf_dir, "embeddings").select("vec_id", whole(F.col("embedding")).alias("embedding"))
     return top_k(v, lambda vec_id: vec_id % 50 == 0)

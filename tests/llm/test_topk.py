@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docpulse.llm.topk import top_k
+from docpulse.llm.topk import top_k, whole
 
 
 def vectors(spark, rows):
@@ -48,3 +48,10 @@ def test_nothing_to_find(spark):
 def test_all_the_same(spark):
     rows = [(i, [4.0, 4.0, 4.0]) for i in range(60)]
     assert found(top_k(vectors(spark, rows), lambda c: c % 10 == 0, 3)) == plain(rows, lambda i: i % 10 == 0, 3)
+
+
+def test_whole_components(spark):
+    rows = [([0.5, -0.001, 1e30, float("nan"), float("inf"), None],), (None,)]
+    got = spark.createDataFrame(rows, "x array<float>").select(whole(F.col("x")).alias("x")).collect()
+    assert repr(got[0].x[:2]) == "[128.0, -1.0]" and got[0].x[2] > 1e32 and got[0].x[3] != got[0].x[3] and got[0].x[4] == float("inf")
+    assert got[0].x[5] is None and got[1].x is None
