@@ -8,6 +8,7 @@ All documents are then scored where they are read.
 
 from __future__ import annotations
 
+import pickle
 import zlib
 
 import numpy as np
@@ -78,6 +79,13 @@ class Logistic:
             w += np.linalg.solve((a * s[:, None]).T @ a + np.diag(ridge), a.T @ (y - p) - ridge * w)
         self.weight = w
 
+    @staticmethod
+    def of(parts) -> "Logistic":
+        """From ``mean, scale, weight``."""
+        model = Logistic.__new__(Logistic)
+        model.mean, model.scale, model.weight = parts
+        return model
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return np.clip(((x - self.mean) / self.scale) @ self.weight[:-1] + self.weight[-1], -30, 30)
 
@@ -113,6 +121,17 @@ class CoTrained:
         scores = np.column_stack([c.logit(logits[:, [i]]) for i, c in enumerate(self.calibrated)])
         self.combined = Logistic(scores, y[held])
 
+    def parts(self) -> list[tuple]:
+        """The numbers of its five regressions."""
+        return [(m.mean, m.scale, m.weight) for m in (*self.models, *self.calibrated, self.combined)]
+
+    @staticmethod
+    def of(parts: list[tuple]) -> "CoTrained":
+        model = CoTrained.__new__(CoTrained)
+        a, b, c, d, model.combined = [Logistic.of(p) for p in parts]
+        model.models, model.calibrated = [a, b], [c, d]
+        return model
+
     def __call__(self, views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Calibrated probability of good quality: by content, by metadata, combined."""
         scores = np.column_stack([c.logit(m.logit(v)[:, None]) for c, m, v in zip(self.calibrated, self.models, views)])
@@ -156,7 +175,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                      pa.array([r.astype(np.float32).tobytes() for r in metadata], pa.binary())], [id_col, "y", "a", "b"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    found = rows.mapInArrow(features, f"`{id_col}` {kind}, y double, a binary, b binary").toPandas().sort_values([id_col, "a"])
+    found = rows.mapInArrow(features, f"`{id_col}` {kind}, y double, a binary, b binary")
+
+    # one task trains: its rows are bounded by the two parameters, as a repeated id counts once
+    found = found.groupBy(id_col).agg(F.min(F.struct("y", "a", "b")).alias("r")).select(id_col, "r.*")
+    train_one = lambda sample: pa.table({"model": pa.array([pickle.dumps(_fit(sample.to_pandas(), id_col, rounds, share))], pa.binary())})
+    said = found.groupBy(F.lit(1).alias("one")).applyInArrow(train_one, "model binary").first()
+    model = 1.0 if said is None else pickle.loads(said.model)
+    return model if isinstance(model, float) else CoTrained.of(model)
+
+
+def _fit(found, id_col: str, rounds: int, share: float) -> list[tuple] | float:
+    """Numbers of the classifier trained on ``found`` (id, y, content and metadata features)."""
+    found = found.sort_values([id_col, "a"])
     views = [np.array([np.frombuffer(r, np.float32) for r in found[c]]).astype(float) for c in ("a", "b")]
     y = found["y"].to_numpy(float)
     has = ~np.isnan(y)
@@ -165,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     held = np.zeros(has.sum(), bool)
     for value in (0, 1):  # every third of either label
         held[np.flatnonzero(y[has] == value)[::3]] = True
-    return CoTrained([v[has] for v in views], y[has], [v[~has] for v in views], held, rounds, share)
+    return CoTrained([v[has] for v in views], y[has], [v[~has] for v in views], held, rounds, share).parts()
 
 
 def score(docs: DataFrame, model: CoTrained | float, text_col: str = "text", meta: tuple[str, str, str] = ("lang", "source", "n_chars"),
