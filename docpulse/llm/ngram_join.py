@@ -55,10 +55,15 @@ class Threshold:
         return (most + 1 + max(3, most // 2) if most else 1), most
 
     def signatures(self, tokens: np.ndarray, common: np.ndarray) -> list[np.ndarray]:
-        """Signatures of the parts at both levels a set can have partners at.
+        """Signatures of the parts at both levels a set can have partners at."""
+        return [sigs for sigs, _ in self.signed(tokens, common)]
+
+    def signed(self, tokens: np.ndarray, common: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """Signatures as ``signatures``, with how many of them every linking partner is sure to have too.
 
         At least m - D parts are the same in a partner. A part counts by its uncommon members. Parts without any are left
-        out unless they are m - D or more, and then those without members at all, unless they are that many.
+        out unless they are m - D or more, and then those without members at all, unless they are that many. A partner may
+        leave out what this set does not, but it then sends more than D parts of those it keeps, so one of them is the same.
         """
         out, level = [], self.level(len(tokens))
         spread = mix(tokens + np.uint64(7))
@@ -74,7 +79,8 @@ class Threshold:
             if m - rare.sum() >= m - most:
                 used = members if m - members.sum() < m - most else np.ones(m, bool)
             which = np.flatnonzero(used)
-            out.append(mix(mix(sums[which] ^ rare[which]) + which.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(at << 40)))
+            sigs = mix(mix(sums[which] ^ rare[which]) + which.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(at << 40))
+            out.append((sigs, max(1, int(rare.sum()) - most)))
         return out
 
     def n_signatures(self, n: int) -> int:
@@ -132,7 +138,7 @@ def common_shingles(rows: DataFrame) -> np.ndarray:
 def candidate_edges(docs: DataFrame, text_col: str, width: int, threshold: Threshold, buckets: int, common: np.ndarray) -> DataFrame:
     """Edges a, b between 63-bit ids of different sets that may link: every one with the first that has an equal part.
 
-    A set goes on at a level only if as many of its parts are met elsewhere as a linking partner would have the same.
+    A set goes on at a level only if as many of its parts are met elsewhere as any linking partner is sure to send.
     Signatures travel packed by bucket: 48 bits beside those the bucket stands for, and each set's id once. Of equal
     signatures of one piece of input one travels, so that a part which very many sets share is a few rows in its bucket.
     """
@@ -151,11 +157,9 @@ def candidate_edges(docs: DataFrame, text_col: str, width: int, threshold: Thres
                 if len(seen) > 200_000:
                     seen.clear()
                 seen.add(sid)
-                level = threshold.level(len(tokens))
-                for which, sig in enumerate(threshold.signatures(tokens, common)):
-                    m, most = threshold.parts(level + which)
+                for which, (sig, need) in enumerate(threshold.signed(tokens, common)):
                     node = sid & ~1 | which
-                    needs.append((node, m - most - (m - len(sig))))
+                    needs.append((node, need))
                     nodes.append(np.full(len(sig), node, np.int64))
                     sigs.append(sig)
             if not nodes:

@@ -90,3 +90,30 @@ def test_common_shingles(docs):
     df = docs([(i, f"a{i} b{i} c{i} {passage} d{i} e{i} f{i}") for i in range(120)])
     rows = ngram_join.shingled(df.coalesce(1), "doc_id", "text", 5, Threshold(80, 100))
     assert len(common_shingles(rows)) == 26
+
+
+def test_near_copies_that_are_mostly_a_common_line(docs):
+    line = " ".join(f"p{i}" for i in range(11))
+    rows = [(i, " ".join([f"a{i}x{j}" for j in range(20)] + [line] + [f"b{i}x{j}" for j in range(20)])) for i in range(60)]
+    rows += [(100, f"{line} o"), (101, f"{line} o q")]  # alone at their size: no third text sends the parts of the line
+    assert found(near_components(docs(rows).coalesce(1), 3, 90, 100)) == sorted(map(repr, plain(rows, 3, 90, 100)))
+
+
+def test_no_more_parts_are_required_than_a_partner_sends():
+    r, sides = random.Random(12), set()
+    word = lambda: np.uint64(r.getrandbits(64))
+    for p in (80, 90):
+        t = Threshold(p, 100)
+        for _ in range(600):
+            common = np.unique(np.array([word() for _ in range(r.choice((9, 30, 100)))], np.uint64))
+            own = [word() for _ in range(r.randint(1, max(2, len(common) // 4)))]
+            a = np.unique(np.append(common[r.randint(0, 2):], own))
+            b = np.unique(np.append(a, [word() for _ in range(r.randint(1, max(1, len(a) // 9)))]))
+            if not t.linked(len(a), len(a), len(b)):
+                continue
+            x, y = ({t.level(len(s)) + i: (set(sigs.tolist()), need) for i, (sigs, need) in enumerate(t.signed(s, common))} for s in (a, b))
+            for at in x.keys() & y.keys():
+                m, most = t.parts(at)
+                sides.add(tuple(len(set((np.setdiff1d(s, common) % np.uint64(m)).tolist())) > most for s in (a, b)))
+                assert len(x[at][0] & y[at][0]) >= max(x[at][1], y[at][1]) > 0
+    assert (False, True) in sides and (True, True) in sides and (False, False) in sides
