@@ -41,7 +41,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
 
     ``vectors`` has whole-numbered components as doubles. Rows whose vector is NULL, empty or holds a NULL or non-finite
     component, and rows without an id, take no part; of several lengths only vectors as long as a query's are its
-    candidates. Ties go to the smaller id. Rows repeating an id are candidates each, but none of its own id. Fewer than
+    candidates. Ties go to the smaller id. Rows repeating an id are candidates each, but none of its own id, and
+    rows repeating a query's id share its ``k`` results. Fewer than
     ``k`` candidates give fewer rows. Other columns are not read. ``pivots`` bounds the summaries, which alone are sent to
     the tasks; ``group`` the queries of a group.
     """
@@ -51,14 +52,18 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vect
          .select(F.col(id_col).alias("id"), x.cast("array<double>").alias("x"), F.size(x).alias("dim")))
     dims = [r.dim for r in v.filter(is_query(F.col("id"))).select("dim").distinct().collect()]
     parts = [_one_length(v.filter(F.col("dim") == d).select("id", "x"), is_query, k, pivots, group) for d in sorted(dims)]
-    out = parts[0] if parts else v.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), "id", F.col("id").alias("score")).limit(0)
+    out = parts[0] if parts else v.select(F.col("id").alias("query_id"), "id", F.col("id").alias("score")).limit(0)
     for part in parts[1:]:
         out = out.unionByName(part)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")  # over the lengths too, as an id may have several
+    out = out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return out.select("query_id", "rank", F.col("id").alias(id_col), "score")
 
 
 def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> DataFrame:
     spark = v.sparkSession
+    # rows of a query's own id may be among the best anywhere, so that floors have to leave room for as many
+    own = v.filter(is_query(F.col("id"))).groupBy("id").count().agg(F.max("count")).first()[0] or 1
     # pivots: the vectors of lowest hash; any choice gives the same result
     chosen = v.select("x").distinct().orderBy(F.xxhash64("x")).limit(n_pivots).collect()
     pivot = spark.sparkContext.broadcast(np.array([r.x for r in chosen]))
@@ -71,7 +76,7 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
                 x = _matrix(part.column("x"))
                 d = _distances(x, p)
                 cell = d.argmin(1)
-                floor = np.sort(x @ p.T, 1)[:, -k - 1] if len(p) > k else np.full(len(x), -np.inf)
+                floor = np.sort(x @ p.T, 1)[:, -k - own] if len(p) >= k + own else np.full(len(x), -np.inf)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id"), part.column("x"), pa.array(cell, pa.int32()),
                      pa.array(d[np.arange(len(cell)), cell], pa.float64()), pa.array(floor, pa.float64())],
@@ -83,8 +88,8 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
     sizes = {r.cell: (r.n, r.far, r.floor) for r in queries.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("far").alias("far"), F.min("floor").alias("floor")).collect()}
     if not sizes:
-        return cells.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), "id", F.col("id").alias("score")).filter("false")
-    # a floor: k vectors and the query itself, in the cells whose lowest possible score is highest, or among the pivots
+        return cells.select(F.col("id").alias("query_id"), "id", F.col("id").alias("score")).filter("false")
+    # a floor: k vectors and the rows of the query's id, in the cells whose lowest possible score is highest, or among the pivots
     p, data = pivot.value, sorted(summary)
     norm, products = np.sqrt((p * p).sum(1)), p @ p.T
     count, radius = np.array([summary[c][0] for c in data]), np.array([summary[c][1] for c in data])
@@ -93,7 +98,7 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
     for c, (_, r, seen) in sizes.items():
         low = products[c, data] - norm[c] * radius - norm[data] * r - r * radius
         best = np.argsort(-low)
-        enough = np.cumsum(count[best]) >= k + 1
+        enough = np.cumsum(count[best]) >= k + own
         floors[c] = max(seen, low[best][enough.argmax()] if enough.any() else -np.inf) - slack
     spread = {c: -(-n // group) for c, (n, _, _) in sizes.items()}
     rules = spark.sparkContext.broadcast((floors, {c: r for c, (_, r, _) in sizes.items()}))
@@ -136,19 +141,15 @@ def _one_length(v: DataFrame, is_query, k: int, n_pivots: int, group: int) -> Da
                 score = _products(qx, x)
                 out = []
                 for i in range(len(qid)):
-                    s = score[i]
-                    if len(s) > k + 1:  # all that reach the (k + 1)-th score, the query itself being one of them
-                        near = np.flatnonzero(s >= np.partition(s, len(s) - k - 1)[len(s) - k - 1])
-                    else:
-                        near = np.arange(len(s))
-                    near = near[ids[near] != qid[i]]
-                    near = near[np.lexsort((ids[near], -s[near]))][:k]
-                    out.append((np.full(len(near), qid[i]), ids[near], s[near]))
+                    others = np.flatnonzero(ids != qid[i])
+                    s = score[i][others]
+                    if len(s) > k:  # all that reach the k-th score
+                        others = others[s >= np.partition(s, len(s) - k)[len(s) - k]]
+                    near = others[np.lexsort((ids[others], -score[i][others]))][:k]
+                    out.append((np.full(len(near), qid[i]), ids[near], score[i][near]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*out)], ["query_id", "id", "score"])
 
-    found = sent.join(blocks, "cell").select("q", "ids", "xs", "kind").mapInArrow(solve, "query_id long, id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
-    return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return sent.join(blocks, "cell").select("q", "ids", "xs", "kind").mapInArrow(solve, "query_id long, id long, score long")
 
 
 def whole(vector, times: int = 256):

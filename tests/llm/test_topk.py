@@ -55,3 +55,17 @@ def test_whole_components(spark):
     got = spark.createDataFrame(rows, "x array<float>").select(whole(F.col("x")).alias("x")).collect()
     assert repr(got[0].x[:2]) == "[128.0, -1.0]" and got[0].x[2] > 1e32 and got[0].x[3] != got[0].x[3] and got[0].x[4] == float("inf")
     assert got[0].x[5] is None and got[1].x is None
+
+
+@pytest.mark.parametrize("pivots", [2, 32])
+def test_repeated_ids(spark, pivots):
+    r = random.Random(4)
+    rows = [(i % 80, [float(r.randint(-300, 300)) for _ in range(3)]) for i in range(160)]  # two vectors an id
+    rows += [(10, [900.0, 900.0, 900.0 + i % 2]) for i in range(8)]  # of all the best for themselves
+    rows += [(20, [1.0]), (21, [5.0]), (21, [5.0])]  # of another length
+    scores = {}
+    for q, a in rows:
+        if q % 10 == 0:
+            scores.setdefault(q, []).extend((-int(sum(s * t for s, t in zip(a, b))), i) for i, b in rows if i != q and len(a) == len(b))
+    want = sorted((q, n + 1, i, -s) for q, found_ in scores.items() for n, (s, i) in enumerate(sorted(found_)[:5]))
+    assert found(top_k(vectors(spark, rows), lambda c: c % 10 == 0, 5, pivots=pivots)) == want
