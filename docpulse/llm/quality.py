@@ -148,7 +148,7 @@ def _views(batch: pa.RecordBatch, text_col: str, meta: list[str]):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-          meta: tuple[str, str, str] = ("lang", "source", "n_chars"), labelled: int = 8_000, pool: int = 8_000,
+          meta: tuple[str, str, str] = ("lang", "source", "n_chars"), labelled: int = 12_000, pool: int = 12_000,
           rounds: int = 3, share: float = 0.1) -> CoTrained | float:
     """The classifier, from ``labelled`` labelled documents and a ``pool`` of unlabelled ones at most, by order of hash.
 
@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(id_col).agg(
         F.max(label_col).cast("double").alias("__y"))
     by_hash = F.xxhash64(F.lit(3), id_col)
-    chosen = known.orderBy(by_hash, id_col).limit(labelled)
+    chosen = known.join(docs.select(id_col).hint("merge"), id_col, "left_semi").orderBy(by_hash, id_col).limit(labelled)
     others = docs.select(id_col).filter(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(F.lit(4), id_col), id_col).limit(pool)
     # both sides of the union are bounded by parameters, so the ids can be sent to the tasks
     wanted = chosen.unionByName(others.withColumn("__y", F.lit(None).cast("double"))).groupBy(id_col).agg(F.max("__y").alias("__y"))

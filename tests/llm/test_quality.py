@@ -49,6 +49,12 @@ def test_nothing_to_learn_from(docs, spark):
     assert train(docs([]), none) == 1.0
 
 
+def test_labels_without_documents_take_no_room(docs, spark):
+    rows = [(i, f"one two three {i}" if i % 2 else "### " * (20 + i)) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20_000)], "doc_id long, quality int")
+    assert not isinstance(train(docs(rows), labels, labelled=80, pool=80), float)
+
+
 def test_features_are_finite():
     for text in (b"", b"\n", b"a", b"\xff" * 10, b"a b " * 10_000):
         assert np.isfinite(content_features(text)).all()
