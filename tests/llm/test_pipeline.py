@@ -91,3 +91,12 @@ def test_odd_rows_pass(spark):
         docs = stage(spark, docs, SF)
         assert docs.columns == columns, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
+def test_near_dedup_judges_texts_that_share_an_id(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    rows = [(1, one), (2, one + " x"), (2, "c d e f g h"), (3, two), (3, two + " y"), (None, "p q r s t u"), (4, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, docs, SF).collect()]
+    assert {(1, one), (2, "c d e f g h"), (None, "p q r s t u"), (4, None)} < set(kept)
+    assert len(kept) == 5 and len({(3, two), (3, two + " y")} & set(kept)) == 1
