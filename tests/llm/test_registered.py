@@ -45,6 +45,7 @@ CONTRACTS = {
     "op6_mix_sources": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op13_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
 
