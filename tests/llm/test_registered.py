@@ -27,7 +27,7 @@ def test_one_query_for_each_operator():
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op2_chat_format", "op7_licence_scan", "op8_url_filter", "op9_exact_dedup", "op10_topk"])
+@pytest.mark.parametrize("name", ["op2_chat_format", "op7_licence_scan", "op8_url_filter", "op9_exact_dedup", "op10_topk", "op12_lexical"])
 def test_query_and_sql(spark, db, name):
     df = queries()[name](spark, SF)
     columns = sorted(df.columns)
@@ -45,6 +45,7 @@ CONTRACTS = {
     "op6_mix_sources": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op12_lexical": "item_id bigint, rank int, doc_id bigint, score bigint",
     "op13_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
 
