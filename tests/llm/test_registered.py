@@ -23,7 +23,7 @@ def db():
 def test_one_query_for_each_operator():
     import docpulse.llm.registry  # noqa: F401
 
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
@@ -45,6 +45,7 @@ CONTRACTS = {
     "op6_mix_sources": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op9_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
     "op10_topk": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op11_reshard": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int, old_shard int",
     "op12_lexical": "item_id bigint, rank int, doc_id bigint, score bigint",
     "op13_spelling": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
 }
