@@ -185,3 +185,16 @@ def decode_leaves(nodes: DataFrame) -> DataFrame:
         "raw", "node_type", "raw_object", "src", "src_tag", "plain", "src_text", "as_double", "as_bigint", "conf", "off", "len",
         "broken", "shown",
     )
+
+
+def of_kind(decoded: DataFrame, kind: str) -> DataFrame:
+    """Decoded rows of one kind.
+
+    The verdict on a row rests on long expressions. Bound to a column that depends on the task,
+    the filter stays above them; moved below, it would compute all of them a second time.
+    """
+    return (
+        decoded.withColumn("__task", F.spark_partition_id())
+        .filter((F.col("__task") >= 0) & (F.col("kind") == kind))
+        .drop("__task")
+    )

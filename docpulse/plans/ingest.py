@@ -3,7 +3,7 @@
 The files are read, flattened and decoded once, into a staging table in the shared folder, one
 partition per kind of row. Everything else - refused documents, statistics, the published
 tables - reads the flat staging rows, column-pruned. Losing an executor repeats tasks, not the
-batch.
+batch. A report that goes over the rows once takes them from ``flat_rows``, which stages deep files only.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from docpulse import constants as C
 from docpulse.functions.paths import parse_result_paths
 from docpulse.functions.text import ci_key
+from docpulse.operators.depth import by_depth
 from docpulse.operators.documents import backlink, constraint_violations, finalize_stats
 from docpulse.operators.flatten import CONTAINER, LEVELS, flatten_nodes, judge_odd, open_level
 from docpulse.operators.gate import batch_summary, quarantine_rows, routing_manifest
@@ -53,6 +54,19 @@ def stage(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> D
     return rows
 
 
+def flat_rows(files: DataFrame, folder: str, run_id: str, levels: int = LEVELS) -> DataFrame:
+    """Flat rows of result files, for a reader that goes over them once.
+
+    Files whose brackets show that ``levels`` levels are all go through one narrow stage, of which only the
+    columns asked for are computed, and nothing is written. The others, if there are any, are staged below ``folder``.
+    """
+    shallow, deep = by_depth(files, levels)
+    rows = decode_leaves(flatten_nodes(parse_results(shallow, run_id), levels))
+    if deep.isEmpty():
+        return rows
+    return rows.unionByName(stage(deep, folder, run_id, levels).drop("round"))
+
+
 def rows_schema(decoded: DataFrame) -> T.StructType:
     """Columns of the staged rows as they are read back, the partition's last; a batch may have no rows."""
     fields = [f for f in decoded.schema if f.name != "kind"]

@@ -8,8 +8,8 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Runtime settings: adaptive plans split skewed join partitions and size shuffles from real
-# bytes; days are days in UTC; duplicate JSON keys keep the last one; Arrow batches are bounded in bytes, since one
-# decoded image may be hundreds of megabytes.
+# bytes; days are days in UTC; duplicate JSON keys keep the last one; a writer with few partitions keeps their
+# files open instead of sorting its rows; Arrow batches are bounded in bytes, since one decoded image may be hundreds of megabytes.
 RUNTIME = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -17,6 +17,7 @@ RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 

@@ -6,8 +6,9 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from docpulse.operators.leaf import of_kind
 from docpulse.plans.gate import check_batch
-from docpulse.plans.ingest import ingest_batch, stage
+from docpulse.plans.ingest import flat_rows, ingest_batch
 from docpulse.sources import tables as T
 from docpulse.streaming.loops import start_ingest, start_quality
 from workload import standins as S
@@ -55,8 +56,8 @@ def odd_files(spark, sf_dir):
 
 
 def leaves_of(files):
-    """Leaf rows of files of any depth, by way of the staged rows."""
-    return stage(files, f"{fresh(files.sparkSession)}/staged", "r").filter("kind = 'leaf'")
+    """Leaf rows of files of any depth."""
+    return of_kind(flat_rows(files, f"{fresh(files.sparkSession)}/staged", "r"), "leaf")
 
 
 def _case(*texts: str) -> str:
