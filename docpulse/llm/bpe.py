@@ -7,13 +7,14 @@ not in it, so that the result never depends on the lexicon.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
-import os
-import tempfile
 import uuid
+from array import array
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -26,9 +27,10 @@ from tokenizers import Tokenizer
 
 from docpulse.llm.common import query, stored, table
 from docpulse.llm.lexicon import Lexicon, build
+from docpulse.session import shared_dir
 
 PIECE = 1 << 21  # characters handled at a time within an Arrow batch
-KEPT = 300_000  # chunks a task remembers
+KEPT = 400_000  # chunks a task remembers
 IDS = 20  # bits of an id; a pair's rank stands above the id it merges into
 NONE = 1 << 62
 
@@ -167,62 +169,118 @@ class WordBpe:
                 yield None, part
 
 
+def gather(flat: array, starts: array, numbers: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The parts of ``flat`` between ``starts`` that have the numbers, one after the other, and their sizes."""
+    taken, begin = np.array(numbers, np.int64), np.array(starts)
+    sizes = begin[taken + 1] - begin[taken]
+    ends = np.cumsum(sizes)
+    place = np.repeat(begin[taken] - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+    return np.array(flat, np.int32)[place], sizes
+
+
 class Encoder:
-    """Encodes with a lexicon and remembers chunks between white space."""
+    """Encodes with a lexicon and remembers chunks between white space: each has a number, at which its ids and their tokens are kept."""
 
     def __init__(self, bpe: WordBpe, lexicon: Lexicon | None):
-        self.bpe, self.lexicon, self.seen, self.older = bpe, lexicon, {}, {}
-
-    def learn(self, chunks: set[str]) -> None:
+        self.bpe, self.lexicon = bpe, lexicon
+        self._turn()
+        self._turn()
+
+    def _turn(self) -> None:
+        """Begin a new memory; what the one before knows is taken over when it is met again."""
+        self.older = (self.seen, self.flat, self.starts, self.shown) if hasattr(self, "seen") else ({}, array("i"), array("q", [0]), [])
+        self.seen, self.flat, self.starts, self.shown, self.silent = {}, array("i"), array("q", [0]), [], set()
+
+    def _put(self, chunks: list[str | int], ids: np.ndarray, sizes: np.ndarray, shown: list[str]) -> None:
+        """Remember chunks that are not known yet: ``sizes`` of the ``ids`` belong to each."""
+        first = len(self.shown)
+        self.seen.update(zip(chunks, range(first, first + len(chunks))))
+        self.starts.frombytes((len(self.flat) + np.cumsum(sizes, dtype=np.int64)).tobytes())
+        self.flat.frombytes(np.ascontiguousarray(ids, np.int32).tobytes())
+        self.shown += shown
+        self.silent.update((first + np.flatnonzero(sizes == 0)).tolist())
+
+    def _show(self, ids: np.ndarray, sizes: np.ndarray) -> list[str]:
+        tokens, ends = list(map(self.bpe.token.__getitem__, ids.tolist())), np.cumsum(sizes).tolist()
+        return [tokens[a] if b - a == 1 else " ".join(tokens[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def _known(self, chunks: Iterable[str]) -> list[str]:
+        """Takes over what the memory before knows and gives the other chunks."""
+        seen, flat, starts, shown = self.older
+        numbers = [(c, seen.get(c)) for c in chunks]
+        held = [(c, k) for c, k in numbers if k is not None]
+        if held:
+            taken = [k for _, k in held]
+            self._put([c for c, _ in held], *gather(flat, starts, taken), [shown[k] for k in taken])
+        return [c for c, k in numbers if k is None]
+
+    def learn(self, chunks: set[str | int]) -> None:
         """Ids of chunks not seen yet: their words are looked up, those not found are merged together."""
-        if len(self.seen) > KEPT:
-            self.seen, self.older = {}, self.seen
-        seen, older, words = self.seen, self.older, self.bpe.words
-        spelled = {}
-        for chunk in chunks:
-            if chunk not in seen:
-                known = older.get(chunk)
-                if known is None:
-                    spelled[chunk] = words(chunk)
-                else:
-                    seen[chunk] = known
-        new = {w for own in spelled.values() for w in own if w not in seen}
-        unseen = []
-        for word in new:
-            known = older.get(word)
-            if known is None and self.lexicon:
-                known = self.lexicon.get(word.encode())
-                known = known and tuple(known)
-            if known is None:
-                unseen.append(word.encode())
-            else:
-                seen[word] = known
-        for word, ids in self.bpe.merge_many(unseen).items():
-            seen[word.decode()] = tuple(ids)  # tuples of numbers cost the garbage collector nothing
-        for chunk, own in spelled.items():
-            if len(own) != 1 or own[0] != chunk:
-                seen[chunk] = tuple(chain.from_iterable([seen[word] for word in own]))
+        words = self.bpe.words
+        special = [c for c in chunks if isinstance(c, int)]
+        if special:
+            ids = np.array(special)
+            self._put(special, ids, np.ones(len(ids), np.int64), self._show(ids, np.ones(len(ids), np.int64)))
+        spelled = {c: words(c) for c in self._known(c for c in chunks if isinstance(c, str))}
+        seen = self.seen
+        new = self._known({w for own in spelled.values() for w in own if w not in seen})
+        coded = [w.encode() for w in new]
+        if self.lexicon and new:
+            found, ids, sizes = self.lexicon.get_many(coded)
+            self._put([w for w, f in zip(new, found) if f], ids, sizes, self._show(ids, sizes))
+            new = [w for w, f in zip(new, found) if not f]
+            coded = [w.encode() for w in new]
+        merged = self.bpe.merge_many(coded)
+        lists = [merged[w] for w in coded]
+        sizes = np.array(list(map(len, lists)), np.int64)
+        ids = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
+        self._put(new, ids, sizes, self._show(ids, sizes))
+        rest = [(c, list(map(seen.__getitem__, own))) for c, own in spelled.items() if len(own) != 1 or own[0] != c]
+        if rest:
+            counts = np.array([len(own) for _, own in rest], np.int64)
+            ids, sizes = gather(self.flat, self.starts, list(chain.from_iterable(own for _, own in rest)))
+            ends = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
+            shown = self.shown.__getitem__
+            self._put([c for c, _ in rest], ids, np.diff(ends), [" ".join(map(shown, own)) for _, own in rest])
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        split = [[(special, self.bpe.chunks(part)) for special, part in self.bpe.segments(text)] for text in texts]
-        chunks = {c for parts in split for _, part in parts for c in part}
-        self.learn(chunks)
-        out, seen = [], self.seen
-        for parts in split:
-            ids = []
-            for special, part in parts:
+        ids, ends, _ = self.code_all(texts)
+        return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+    def code_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """Ids of all texts one after the other, where each text's begin and the last end, and the texts the ids give."""
+        if len(self.seen) > KEPT or len(self.flat) > 16 * KEPT:
+            self._turn()
+        lists = []
+        for text in texts:
+            chunks = []
+            for special, part in self.bpe.segments(text):
                 if special is not None:
-                    ids.append(special)
-                for chunk in part:
-                    ids += seen[chunk]
-            out.append(ids)
-        for chunk in chunks:
-            if len(chunk) > 64:  # long ones are rare and would fill the memory
-                seen.pop(chunk, None)
-        return out
+                    chunks.append(special)
+                else:
+                    chunks += self.bpe.chunks(part)
+            lists.append(chunks)
+        number = self.seen.get
+        numbers = [list(map(number, chunks)) for chunks in lists]
+        unknown = {c for chunks, own in zip(lists, numbers) if None in own for c, k in zip(chunks, own) if k is None}
+        if unknown:
+            self.learn(unknown)
+            numbers = [list(map(number, chunks)) if None in own else own for chunks, own in zip(lists, numbers)]
+        silent = self.silent
+        if silent:
+            numbers = [own if silent.isdisjoint(own) else [k for k in own if k not in silent] for own in numbers]
+        counts = list(map(len, numbers))
+        ids, sizes = gather(self.flat, self.starts, list(chain.from_iterable(numbers)))
+        texts_end = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        shown = self.shown.__getitem__
+        decoded = [" ".join(map(shown, own)) for own in numbers]
+        for chunk in unknown:
+            if isinstance(chunk, str) and len(chunk) > 64:  # long ones are rare and would fill the memory
+                self.seen.pop(chunk, None)
+        return ids, texts_end, decoded
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space: such a file names no decoder."""
@@ -242,21 +300,32 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
         yield start, texts
 
 
+@contextmanager
+def collector_off() -> Iterator[None]:
+    """Many small lasting objects without circles: looking for circles among them would cost a third of the time."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def word_counts(docs: DataFrame, spec, text_col: str = "text") -> DataFrame:
     """word, n over all texts; ``spec`` is a broadcast tokenizer file. Tasks count before the shuffle."""
 
     def count(batches):
         bpe, chunks = WordBpe(spec.value), Counter()
-        for batch in batches:
-            for _, texts in pieces(batch.column(0)):
-                for text in texts:
-                    for special, part in bpe.segments(text):
-                        if special is None:
-                            chunks.update(bpe.chunks(part))
-                if len(chunks) > KEPT:
-                    yield words(bpe, chunks)
-                    chunks = Counter()
-        yield words(bpe, chunks)
+        with collector_off():
+            for batch in batches:
+                for _, texts in pieces(batch.column(0)):
+                    for text in texts:  # what only the full normalisation tells is left out: the lexicon need not be exact
+                        chunks.update(text.lower().split())
+                    if len(chunks) > KEPT:
+                        yield words(bpe, chunks)
+                        chunks = Counter()
+            yield words(bpe, chunks)
 
     def words(bpe, chunks):
         found = Counter()
@@ -299,19 +368,21 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     spec, bpe = spark.sparkContext.broadcast(text), WordBpe(text)
     frequent = frequent_words(word_counts(docs, spec, text_col), lexicon_words)
     name = f"lexicon-{uuid.uuid4().hex}.bin"
-    path = os.path.join(tempfile.mkdtemp(), name)
-    with open(path, "wb") as file:
-        file.write(build((w, bpe.merge(w)) for w in frequent))
-    spark.sparkContext.addFile(path)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/docpulse-llm/{name}")
+    file = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    file.write(bytearray(build((w, bpe.merge(w)) for w in frequent)))
+    file.close()
+    spark.sparkContext.addFile(path.toString())
 
     def run(batches):
         encoder = Encoder(WordBpe(spec.value), Lexicon(SparkFiles.get(name)))
-        for batch in batches:
-            for start, texts in pieces(batch.column(1)):
-                ids = encoder.encode_all(texts)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(start, len(texts)), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([encoder.decode(i) for i in ids], pa.string())], [id_col, "ids", "decoded"])
+        with collector_off():
+            for batch in batches:
+                for start, texts in pieces(batch.column(1)):
+                    ids, ends, decoded = encoder.code_all(texts)
+                    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(start, len(texts)), lists, pa.array(decoded, pa.string())], [id_col, "ids", "decoded"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")

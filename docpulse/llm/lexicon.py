@@ -71,6 +71,7 @@ class Lexicon:
         self.first, self.final, self.target, self.add, self.starts, self.ids = (
             view[a:b] for a, b in zip(ends, ends[1:]))
         self.labels = 4 * ends[-1]
+        self.arcs = None
 
     def get(self, word: bytes) -> list[int] | None:
         """Ids of ``word``; None if it was not compiled in."""
@@ -83,3 +84,35 @@ class Lexicon:
             rank += add[arc]
             state = target[arc]
         return self.ids[self.starts[rank]:self.starts[rank + 1]].tolist() if self.final[state] else None
+
+    def get_many(self, words: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Which of ``words`` were compiled in, their ids one after the other, and how many each has.
+
+        All words go along the automaton together, a byte at a time: the arcs are in order of (state, label).
+        """
+        if self.arcs is None:
+            first = np.array(self.first, np.int64)
+            labels = np.frombuffer(self.file, np.uint8, int(first[-1]), self.labels)
+            self.arcs = np.repeat(np.arange(len(first) - 1), np.diff(first)) << 8 | labels
+        target, add, starts = (np.frombuffer(v, np.int32) for v in (self.target, self.add, self.starts))
+        sizes = np.array(list(map(len, words)), np.int64)
+        data, begin = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes) - sizes
+        state, rank = np.full(len(words), self.root, np.int64), np.zeros(len(words), np.int64)
+        alive, at = np.ones(len(words), bool), 0
+        on = np.flatnonzero(sizes > 0)
+        while len(on):
+            wanted = state[on] << 8 | data[begin[on] + at]
+            arc = np.minimum(np.searchsorted(self.arcs, wanted), max(0, len(self.arcs) - 1))
+            found = self.arcs[arc] == wanted if len(self.arcs) else np.zeros(len(on), bool)
+            alive[on[~found]] = False
+            on, arc = on[found], arc[found]
+            rank[on] += add[arc]
+            state[on] = target[arc]
+            at += 1
+            on = on[sizes[on] > at]
+        alive &= np.frombuffer(self.final, np.int32)[state] > 0
+        rank = rank[alive]
+        n = (starts[rank + 1] - starts[rank]).astype(np.int64)
+        ends = np.cumsum(n)
+        place = np.repeat(starts[rank] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
+        return alive, np.frombuffer(self.ids, np.int32)[place], n
