@@ -218,12 +218,12 @@ def quarantine_rows(failures: DataFrame, area: str) -> tuple[DataFrame, DataFram
     return errors, routing_manifest(rows, area, F.lit(target))
 
 
-def batch_summary(outcomes: DataFrame) -> DataFrame:
-    """Files per outcome of a batch: processed, failed, skipped and deferred."""
+def batch_summary(outcomes: DataFrame, deferred: int = 0) -> DataFrame:
+    """Files per outcome of a batch: processed, failed, skipped and deferred, with those its source left for later."""
     out = F.col("outcome")
     return outcomes.agg(
         F.count_if(out == "processed").alias("processed"),
         F.count_if(out == "failed").alias("failed"),
         F.count_if(out == "skipped").alias("skipped"),
-        F.count_if(out == "deferred").alias("deferred"),
+        (F.count_if(out == "deferred") + deferred).alias("deferred"),
     )

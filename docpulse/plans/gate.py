@@ -18,14 +18,15 @@ from docpulse.operators.pixels import image_features, image_size
 from docpulse.plans.quality import check_files, content_features, file_rows
 from docpulse.operators.rules import largest
 from docpulse.session import clear_staging, configure, staging_dir
-from docpulse.sources.files import empty_files, read_contents, read_images
-from docpulse.sources.tables import checks, issues, publish, read_table
+from docpulse.sources.files import read_contents, read_images
+from docpulse.sources.sidecars import publish_sidecars
+from docpulse.sources.tables import checks, issues, publish, read_run, read_table
 
 
 def check_batch(
     content: DataFrame, out: str, run_id: str, mode: str = "standard", limits: Limits = LIMITS,
     manifest: DataFrame | None = None, file_metrics: DataFrame | None = None,
-    page_metrics: DataFrame | None = None, images: DataFrame | None = None,
+    page_metrics: DataFrame | None = None, images: DataFrame | None = None, deferred: int = 0,
 ) -> None:
     """Judge raw files (``path, modificationTime, length, content``) and store checks and issues."""
     spark = configure(content.sparkSession)
@@ -41,14 +42,16 @@ def check_batch(
     paths = (content if manifest is None else manifest).select("path")
     misplaced = paths.join(parse_raw_paths(paths).select("path"), "path", "left_anti")
     publish(batch_summary(checked.select(F.lit("processed").alias("outcome")).unionByName(
-        misplaced.select(F.lit("skipped").alias("outcome")))), out, "batches", run_id)
+        misplaced.select(F.lit("skipped").alias("outcome"))), deferred), out, "batches", run_id)
     clear_staging(spark, out, run_id)
 
 
-def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: bool = False) -> DataFrame:
+def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: bool = False,
+                    sidecars: str | None = None) -> DataFrame:
     """Route checked files by their outcomes and store patches, links, errors and the manifest.
 
-    Returns the routed rows; files without an outcome stay pending.
+    Returns the routed rows; files without an outcome stay pending. Reports of rejected files go to files below
+    ``sidecars``, where given.
     """
     configure(spark)
     open_checks = checks(spark, out).filter("completed_at IS NULL")
@@ -63,6 +66,9 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
     now = F.date_trunc("millisecond", F.current_timestamp())
     publish(result_links(routed), out, "links", run_id)
     publish(raw_manifest(routed), out, "manifest", run_id)
+    if sidecars is not None:
+        publish_sidecars(read_run(spark, out, "manifest", run_id).filter("sidecar_path IS NOT NULL").select(
+            F.col("sidecar_path").alias("path"), F.col("sidecar_text").alias("text")), sidecars)
     publish(rejection_errors(routed).withColumns({
         "error_id": F.xxhash64(F.lit(run_id), "blob_path", "error_kind"), "occurred_at": now,
     }), out, "errors", run_id)
@@ -72,7 +78,7 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
 
 def check_listed(
     spark, src: str, listed: DataFrame, out: str, run_id: str, mode: str = "standard",
-    limits: Limits = LIMITS, file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None,
+    limits: Limits = LIMITS, file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None, deferred: int = 0,
 ) -> None:
     """Judge listed files below ``src`` (``path, modificationTime, length``): one check for each.
 
@@ -84,7 +90,7 @@ def check_listed(
     paths = [r.path for r in listed.filter(F.col("length").between(1, longest)).select("path").collect()]
     content = read_contents(spark, src, paths, longest)
     check_batch(content, out, run_id, mode, limits, manifest, file_metrics, page_metrics,
-                batch_images(spark, src, content, limits))
+                batch_images(spark, src, content, limits), deferred)
 
 
 def batch_images(spark, src: str, content: DataFrame, limits: Limits = LIMITS) -> DataFrame | None:
@@ -107,16 +113,6 @@ def batch_images(spark, src: str, content: DataFrame, limits: Limits = LIMITS) -
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def check_empty(spark, src: str, out: str, name: str, mode: str = "standard", limits: Limits = LIMITS) -> None:
-    """Judge the files of no bytes below ``src`` that have no such check yet; streams do not hand them out."""
-    known = read_table(spark, out, "checks").filter("file_size_bytes = 0").select(
-        F.expr(f"substring(blob_path, {len(C.INCOMING) + 2})").alias("path")).distinct()
-    found = empty_files(spark, src).join(known, "path", "left_anti")
-    run = found.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("path")).alias("x")).first()
-    if run.n:
-        check_listed(spark, src, found, out, f"{name}-empty-{run.x & (2**64 - 1):016x}", mode, limits)
-
-
 def links_of(spark, out: str) -> DataFrame:
     """All stored stamps of result files."""
     return read_table(spark, out, "links")

@@ -22,8 +22,8 @@ from docpulse.operators.gate import batch_summary, quarantine_rows, routing_mani
 from docpulse.operators.leaf import decode_leaves
 from docpulse.operators.parse import FILE, HEADER, NODE, parse_results
 from docpulse.session import clear_staging, configure, staging_dir
-from docpulse.sources.files import empty_files
-from docpulse.sources.tables import publish, read_table
+from docpulse.sources.sidecars import publish_sidecars
+from docpulse.sources.tables import publish, read_run
 
 VERSION = ["document_id", "version_id"]
 
@@ -89,14 +89,15 @@ def failures(staged: DataFrame) -> DataFrame:
 
 def ingest_batch(
     files: DataFrame, out: str, run_id: str, links: DataFrame | None = None,
-    ingested_at: Column | None = None,
+    ingested_at: Column | None = None, deferred: int = 0, sidecars: str | None = None,
 ) -> dict[str, int]:
     """Ingest ``files`` (``path, value``) as run ``run_id`` into the tables below ``out``.
 
     Returns the files processed, failed, skipped (of another layout) and deferred, stored as a row of ``batches``.
     A bad file never stops the batch: it is left out as a whole and logged; a document the fixed
     types cannot hold is left out alone. Fields are published before documents, and are only ever
-    read through them, so a half-written run is invisible.
+    read through them, so a half-written run is invisible. ``deferred`` counts files the source left for later; error texts
+    of failed files go to files below ``sidecars``, where given.
     """
     spark = configure(files.sparkSession)
     now = ingested_at if ingested_at is not None else F.date_trunc("millisecond", F.current_timestamp())
@@ -143,25 +144,18 @@ def ingest_batch(
             "preprocess_check_id",
             F.when(F.col("processed_blob_url").isNotNull(), F.col("preprocess_check_id")))
     publish(done, out, "documents", run_id)
-    routed = read_table(spark, out, "manifest").filter(F.col("run_id") == run_id).select(F.when(
-        F.col("disposition") == C.PROCESSED, "processed").otherwise("failed").alias("outcome"))
+    manifest = read_run(spark, out, "manifest", run_id)
+    if sidecars is not None:
+        publish_sidecars(manifest.filter("sidecar_path IS NOT NULL").select(
+            F.col("sidecar_path").alias("path"), F.col("sidecar_text").alias("text")), sidecars)
+    routed = manifest.select(F.when(F.col("disposition") == C.PROCESSED, "processed").otherwise("failed").alias("outcome"))
     misplaced = files.select("path").join(parse_result_paths(files.select("path")).select("path"), "path", "left_anti")
-    publish(batch_summary(routed.unionByName(misplaced.select(F.lit("skipped").alias("outcome")))), out, "batches", run_id)
+    publish(batch_summary(routed.unionByName(misplaced.select(F.lit("skipped").alias("outcome"))), deferred), out, "batches", run_id)
     clear_staging(spark, out, run_id)
     return summary(spark, out, run_id)
 
 
 def summary(spark, out: str, run_id: str) -> dict[str, int]:
-    """Files of a run by what became of them; a stream defers none, it hands them to a later batch."""
-    row = read_table(spark, out, "batches").filter(F.col("run_id") == run_id).drop("run_id").first()
+    """Files of a run by what became of them."""
+    row = read_run(spark, out, "batches", run_id).drop("run_id").first()
     return row.asDict()
-
-
-def ingest_empty(spark, src: str, out: str, name: str) -> None:
-    """Log and route the result files of no bytes that are not routed yet; streams do not hand them out."""
-    known = read_table(spark, out, "manifest").filter(F.col("disposition") == C.FAILED).select(
-        F.expr(f"substring(src_path, {len(C.SOURCE) + 2})").alias("path")).distinct()
-    found = empty_files(spark, src).filter(F.lower("path").endswith(".json")).join(known, "path", "left_anti")
-    run = found.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("path")).alias("x")).first()
-    if run.n:
-        ingest_batch(found.select("path", F.lit("").alias("value")), out, f"{name}-empty-{run.x & (2**64 - 1):016x}")

@@ -53,23 +53,14 @@ def read_results(spark: SparkSession, src: str, paths: list[str] | None = None)
 def read_listed_results(spark: SparkSession, src: str, listed: DataFrame) -> DataFrame:
     """Texts of listed files (``path, length``): every file has a row, NULL where it cannot be read.
 
-    The paths are those of one batch, whose size the trigger bounds.
+    The paths are those of one batch, whose size the source bounds. Empty files, which Spark's file sources leave out,
+    have an empty text.
     """
-    paths = [r.path for r in listed.filter(F.col("length") <= LONGEST_TEXT).select("path").collect()]
+    paths = [r.path for r in listed.filter(F.col("length").between(1, LONGEST_TEXT)).select("path").collect()]
+    empty = F.when(F.col("length") == 0, F.lit(""))
     if not paths:
-        return listed.select("path", F.lit(None).cast("string").alias("value"))
-    return listed.select("path").join(read_results(spark, src, paths), "path", "left")
-
-
-def stream_listing(spark: SparkSession, src: str, max_files: int, names: str | None = None) -> DataFrame:
-    """New files below ``src`` as ``path, modificationTime, length``, at most ``max_files`` per batch.
-
-    No byte is read, so a file of any size passes. Empty files do not appear: see :func:`empty_files`.
-    """
-    reader = spark.readStream.schema(RAW).option("maxFilesPerTrigger", max_files)
-    if names is not None:
-        reader = reader.option("pathGlobFilter", names)
-    return _raw(reader, spark, src, src).select("path", "modificationTime", "length")
+        return listed.select("path", empty.alias("value"))
+    return listed.join(read_results(spark, src, paths), "path", "left").select("path", F.coalesce(empty, "value").alias("value"))
 
 
 def read_contents(spark: SparkSession, src: str, paths: list[str], longest: int) -> DataFrame:
@@ -80,25 +71,6 @@ def read_contents(spark: SparkSession, src: str, paths: list[str], longest: int)
     return _raw(reader, spark, src, located(src, paths)).filter(F.col("length") <= longest)
 
 
-def empty_files(spark: SparkSession, src: str) -> DataFrame:
-    """Files of no bytes below ``src`` as ``path, modificationTime, length``: file sources leave them out.
-
-    Mounted folders are listed in tasks. Other stores are listed here, as the file stream does
-    itself, and only the empty files are kept.
-    """
-    if urlsplit(src).scheme in ("", "file"):
-        found = list_files(spark, src).filter("is_file AND length = 0")
-        return found.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), "length")
-    jvm, root, rows = spark.sparkContext._jvm, root_path(spark, src), []
-    where = jvm.org.apache.hadoop.fs.Path(src)
-    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
-    while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0:
-            rows.append((status.getPath().toUri().getPath()[len(root) + 1:], None, 0))
-    return spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT")
-
-
 def _raw(reader, spark: SparkSession, src: str, where) -> DataFrame:
     rows = reader.format("binaryFile").option("recursiveFileLookup", True).load(where)
     return rows.withColumn("path", relative_path(F.col("path"), root_path(spark, src), False))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docpulse import schemas
 from docpulse.operators.checks import OUTCOME_COLUMNS, apply_outcomes
@@ -45,6 +46,19 @@ def read_table(spark: SparkSession, out: str, table: str) -> DataFrame:
         return spark.createDataFrame([], TABLES[table])
 
 
+def read_run(spark: SparkSession, out: str, table: str, run_id: str) -> DataFrame:
+    """The rows of one stored run, read from its folder: no other run is listed. No rows where it has none."""
+    columns = [f for f in spark.createDataFrame([], TABLES[table]).schema if f.name != "run_id"]
+    quoted = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    try:
+        rows = spark.read.schema(StructType(columns)).parquet(f"{out}/{table}/run_id={quoted}")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], TABLES[table])
+    return rows.withColumn("run_id", F.lit(run_id))
+
+
 def documents(spark: SparkSession, out: str) -> DataFrame:
     """Current documents."""
     return current_documents(read_table(spark, out, "documents"))

@@ -1,21 +1,23 @@
 """The two incremental loops as file streams.
 
-The source checkpoint hands each file to one batch; a batch retried after a failure has the same
-id and so the same ``run_id``, whose partitions it replaces. A file source goes by path: a new
-version of a file needs a new name, or ``ingest_paths`` over the path.
+The source hands each version of a file to one batch, empty ones too; a batch retried after a failure has the same
+id and files and so the same ``run_id``, whose partitions it replaces.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
-from docpulse.plans.gate import check_batch, check_empty, check_listed, links_of
-from docpulse.plans.ingest import ingest_batch, ingest_empty
+from docpulse.plans.gate import check_batch, check_listed, links_of
+from docpulse.plans.ingest import ingest_batch
 from docpulse.session import configure
-from docpulse.sources.files import RESULT_GLOB, read_listed_results, read_results, stream_listing
+from docpulse.sources.files import read_listed_results, read_results
+from docpulse.sources.listing import stream_files
+
+RESULT_NAME = r".*\.[jJ][sS][oO][nN]"
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, name: str) -> StreamingQuery:
@@ -28,6 +30,36 @@ def _start(stream: DataFrame, handle, checkpoint: str, name: str) -> StreamingQu
     )
 
 
+class Drained:
+    """A query over a source that grows by batches: waiting for its end runs it until nothing is left, then stops it."""
+
+    def __init__(self, query: StreamingQuery):
+        self.query = query
+
+    def awaitTermination(self) -> None:
+        try:
+            self.query.processAllAvailable()
+        finally:
+            self.query.stop()
+
+    def __getattr__(self, name: str):
+        return getattr(self.query, name)
+
+
+def _start_listing(spark: SparkSession, src: str, checkpoint: str, name: str, max_files: int, max_bytes: int | None,
+                   names: str, drain: bool, handle) -> StreamingQuery | Drained:
+    """Start ``handle(listed rows, batch number)`` over new files, in batches until nothing is new, or for one batch."""
+    stream = stream_files(spark, src, f"{checkpoint}/files", max_files, max_bytes, names)
+
+    def each(batch: DataFrame, number: int) -> None:
+        rows = batch.collect()  # the listing of one batch: the source bounds it
+        if rows:
+            handle(rows, number)
+
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
+    return Drained(writer.trigger(processingTime="0 seconds").start()) if drain else writer.trigger(availableNow=True).start()
+
+
 def run_id(name: str, batch: int) -> str:
     """Run of a micro-batch; sorts in batch order."""
     return f"{name}-{batch:012d}"
@@ -35,22 +67,23 @@ def run_id(name: str, batch: int) -> str:
 
 def start_ingest(
     spark: SparkSession, src: str, out: str, checkpoint: str, max_files: int = C.INGEST_MAX_FILES,
-    name: str = "ingest",
-) -> StreamingQuery:
-    """Ingest the result files that are new below ``src``, ``max_files`` per batch, then stop.
-
-    The stream hands out listings; a file is read in its batch, so that one which cannot be read is
-    an error row and not the end of the stream. Empty files, which streams leave out, come first.
+    name: str = "ingest", max_bytes: int | None = None, sidecars: str | None = None, drain: bool = True,
+) -> StreamingQuery | Drained:
+    """Ingest the result files that are new or rewritten below ``src``, the oldest first, then stop.
+
+    A batch takes ``max_files`` files and ``max_bytes`` bytes at most; with ``drain`` batches go on until nothing is new,
+    without it one batch is run and table ``batches`` tells how many files it deferred to the next start. The stream hands
+    out listings; a file is read in its batch, so that one which cannot be read is an error row and not the end of
+    the stream. Error texts of failed files go to files below ``sidecars``, where given.
     """
     configure(spark)
-    ingest_empty(spark, src, out, name)
 
-    def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        files = read_listed_results(spark, src, batch)
-        ingest_batch(files, out, run_id(name, number), links_of(spark, out))
+    def handle(rows: list[Row], number: int) -> None:
+        listed = spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT, deferred BIGINT")
+        ingest_batch(read_listed_results(spark, src, listed), out, run_id(name, number), links_of(spark, out),
+                     deferred=rows[0].deferred, sidecars=sidecars)
 
-    return _start(stream_listing(spark, src, max_files, RESULT_GLOB), handle, checkpoint, name)
+    return _start_listing(spark, src, checkpoint, name, max_files, max_bytes, RESULT_NAME, drain, handle)
 
 
 def ingest_stream(stream: DataFrame, out: str, checkpoint: str, name: str = "ingest") -> StreamingQuery:
@@ -71,21 +104,20 @@ def ingest_paths(spark: SparkSession, src: str, paths: list[str], out: str, run:
 def start_quality(
     spark: SparkSession, src: str, out: str, checkpoint: str, max_files: int = C.QUALITY_MAX_FILES,
     mode: str = "standard", limits: Limits = LIMITS, file_metrics: DataFrame | None = None,
-    page_metrics: DataFrame | None = None, name: str = "quality",
-) -> StreamingQuery:
-    """Check the raw files that are new below ``src``, ``max_files`` per batch, then stop.
+    page_metrics: DataFrame | None = None, name: str = "quality", max_bytes: int | None = None, drain: bool = True,
+) -> StreamingQuery | Drained:
+    """Check the raw files that are new or rewritten below ``src``; batches as in :func:`start_ingest`.
 
     ``file_metrics`` and ``page_metrics`` are tables the inspectors fill; files they do not know
-    yet get a notice instead of the deep checks. The stream hands out listings; bytes are read in the
-    batch, of files within the limits. Empty files, which streams leave out, are checked first.
+    yet get a notice instead of the deep checks. The stream hands out listings; bytes are read in the batch.
     """
     configure(spark)
-    check_empty(spark, src, out, name, mode, limits)
 
-    def handle(batch: DataFrame, number: int) -> None:
-        check_listed(batch.sparkSession, src, batch, out, run_id(name, number), mode, limits, file_metrics, page_metrics)
+    def handle(rows: list[Row], number: int) -> None:
+        listed = spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT, deferred BIGINT")
+        check_listed(spark, src, listed, out, run_id(name, number), mode, limits, file_metrics, page_metrics, rows[0].deferred)
 
-    return _start(stream_listing(spark, src, max_files), handle, checkpoint, name)
+    return _start_listing(spark, src, checkpoint, name, max_files, max_bytes, ".*", drain, handle)
 
 
 def quality_stream(
