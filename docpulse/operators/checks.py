@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docpulse import constants as C
@@ -13,8 +13,8 @@ OUTCOME_COLUMNS = [
 ]
 
 
-def check_rows(checked: DataFrame, checked_at) -> DataFrame:
-    """Header rows of a run's checks; a later check of the same file adds a row."""
+def check_rows(checked: DataFrame, checked_at, *more: Column) -> DataFrame:
+    """Header rows of a run's checks, with ``more`` columns; a later check of the same file adds a row."""
     text = F.lit(None).cast("string")
     return checked.select(
         "check_id", "blob_path", "usecase", "analyzer_name", "file_name", "extension",
@@ -24,9 +24,17 @@ def check_rows(checked: DataFrame, checked_at) -> DataFrame:
         *[text.alias(c) for c in OUTCOME_COLUMNS],
         checked_at.alias("checked_at"),
         F.lit(None).cast("timestamp").alias("completed_at"),
+        *more,
     )
 
 
+def stored_issues() -> Column:
+    """The issues of a check as they are stored, in one list; a file has at most one issue per rule."""
+    return F.transform("issues", lambda i, pos: F.struct(
+        F.xxhash64("check_id", pos).alias("issue_id"), i["code"].alias("code"), i["severity"].alias("severity"),
+        F.left(i["message"], F.lit(C.ISSUE_MESSAGE_CHARS)).alias("message"), i["details_json"].alias("details_json")))
+
+
 def issue_rows(checked: DataFrame) -> DataFrame:
     """One row per issue of a check, message shortened to its stored width."""
     return checked.select("check_id", F.posexplode("issues").alias("pos", "i")).select(

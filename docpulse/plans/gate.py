@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
 from docpulse.functions.paths import checked_extension, detect_kind, parse_raw_paths
-from docpulse.operators.checks import check_rows, issue_rows
+from docpulse.operators.checks import check_rows, issue_rows, stored_issues
 from docpulse.operators.gate import (
     batch_summary, outcome_patches, raw_manifest, rejection_errors, result_links, route_outcomes,
 )
@@ -20,7 +20,7 @@ from docpulse.operators.rules import largest
 from docpulse.session import clear_staging, configure, staging_dir
 from docpulse.sources.files import read_contents, read_images
 from docpulse.sources.sidecars import publish_sidecars
-from docpulse.sources.tables import checks, issues, publish, read_run, read_table
+from docpulse.sources.tables import OPEN_PARTS, close_checks, publish, publish_open, read_open, read_run, read_table
 
 
 def check_batch(
@@ -39,6 +39,7 @@ def check_batch(
     now = F.date_trunc("millisecond", F.current_timestamp())
     publish(issue_rows(checked), out, "issues", run_id)
     publish(check_rows(checked, now), out, "checks", run_id)
+    publish_open(check_rows(checked, now, stored_issues().alias("issues")), out, run_id)
     paths = (content if manifest is None else manifest).select("path")
     misplaced = paths.join(parse_raw_paths(paths).select("path"), "path", "left_anti")
     publish(batch_summary(checked.select(F.lit("processed").alias("outcome")).unionByName(
@@ -50,16 +51,17 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
                     sidecars: str | None = None) -> DataFrame:
     """Route checked files by their outcomes and store patches, links, errors and the manifest.
 
-    Returns the routed rows; files without an outcome stay pending. Reports of rejected files go to files below
+    Only the checks that wait are read, and of these the parts with an outcome and what the gate refused. Returns the routed rows; files without an outcome stay pending. Reports of rejected files go to files below
     ``sidecars``, where given.
     """
     configure(spark)
-    open_checks = checks(spark, out).filter("completed_at IS NULL")
-    found = issues(spark, out, open_checks).groupBy("check_id").agg(
-        # A file has at most one issue per rule, so the list is bounded.
-        F.sort_array(F.collect_list(F.struct("issue_id", "code", "severity", "message", "details_json"))).alias("issues"))
-    routed = route_outcomes(open_checks.join(found, "check_id", "left"), outcomes, strict).withColumn(
-        "issues", F.coalesce("issues", F.array()))
+    # The parts the outcomes fall into, a handful of numbers: with them the scan leaves the other folders out.
+    parts = [r.part for r in outcomes.select(F.pmod(F.xxhash64("check_id"), F.lit(OPEN_PARTS)).cast("int").alias("part")).distinct().collect()]
+    by_gate = ["refused", "warned"] if strict else ["refused"]
+    waiting = read_open(spark, out).filter(F.col("state").isin(by_gate) | F.col("part").isin(parts))
+    taken = [f"state={r.state}/part={r.part}/run_id={r.run_id}" for r in waiting.select("state", "part", "run_id").distinct().collect()]
+    open_checks = waiting.drop("state", "part", "run_id").dropDuplicates(["check_id"])
+    routed = route_outcomes(open_checks, outcomes, strict).withColumn("issues", F.coalesce("issues", F.array()))
     folder = f"{staging_dir(spark, out, run_id)}/routed"
     routed.write.mode("overwrite").parquet(folder)
     routed = spark.read.parquet(folder)
@@ -73,6 +75,8 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
         "error_id": F.xxhash64(F.lit(run_id), "blob_path", "error_kind"), "occurred_at": now,
     }), out, "errors", run_id)
     publish(outcome_patches(routed).withColumn("completed_at", now), out, "patches", run_id)
+    still = routed.filter("disposition = 'pending'").withColumn("submitted_to_cu", F.lit(False))
+    close_checks(still, taken, out, run_id)
     return routed  # reads the staging folder, which a later settlement of the run replaces
 
 

@@ -28,6 +28,13 @@ TABLES = {
     "patches": PATCHES, "manifest": MANIFEST, "batches": BATCHES,
 }
 
+# Checks that wait for an outcome, apart from the history of all checks. A part is a hash of the check; ``state`` tells
+# what settles it: the gate alone, the gate in strict mode, or an outcome.
+OPEN_PARTS = 16
+OPEN = schemas.CHECKS.replace(", run_id STRING", "") + (
+    ", issues ARRAY<STRUCT<issue_id: BIGINT, code: STRING, severity: STRING, message: STRING, details_json: STRING>>"
+    ", state STRING, part INT, run_id STRING")
+
 
 def publish(df: DataFrame, out: str, table: str, run_id: str) -> None:
     """Write one run of a table, replacing an earlier attempt of the same run."""
@@ -59,6 +66,35 @@ def read_run(spark: SparkSession, out: str, table: str, run_id: str) -> DataFram
     return rows.withColumn("run_id", F.lit(run_id))
 
 
+def publish_open(checked: DataFrame, out: str, run_id: str) -> None:
+    """Keep the checks of a run that wait for what becomes of them (columns of ``checks``, and ``issues``)."""
+    state = F.when(~F.col("passed"), "refused").when(F.col("warning_count") > 0, "warned").otherwise("clean")
+    checked.withColumns({"state": state, "part": F.pmod(F.xxhash64("check_id"), F.lit(OPEN_PARTS)).cast("int"), "run_id": F.lit(run_id)}).select(
+        *StructType.fromDDL(OPEN).names).repartition("state", "part").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("state", "part", "run_id").parquet(f"{out}/open")
+
+
+def read_open(spark: SparkSession, out: str) -> DataFrame:
+    """The checks that wait; one that an interrupted settlement has written anew counts once."""
+    try:
+        return spark.read.schema(OPEN).parquet(f"{out}/open")
+    except AnalysisException as missing:
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return spark.createDataFrame([], OPEN)
+
+
+def close_checks(left: DataFrame, taken: list[str], out: str, run_id: str) -> None:
+    """Replace the partitions ``taken`` (folders below ``open``) by what is ``left`` of them, in one run."""
+    spark = left.sparkSession
+    publish_open(left, out, f"left-{run_id}")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for folder in taken:
+        if not folder.endswith(f"/run_id=left-{run_id}"):
+            path = hadoop.Path(f"{out}/open/{folder}")
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def documents(spark: SparkSession, out: str) -> DataFrame:
     """Current documents."""
     return current_documents(read_table(spark, out, "documents"))

@@ -11,11 +11,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from docpulse import constants as C
 from docpulse.constants import LIMITS, Limits
-from docpulse.plans.gate import check_batch, check_listed, links_of
+from docpulse.plans.gate import check_batch, check_listed, links_of, settle_outcomes
 from docpulse.plans.ingest import ingest_batch
 from docpulse.session import configure
 from docpulse.sources.files import read_listed_results, read_results
 from docpulse.sources.listing import stream_files
+from docpulse.sources.tables import TABLES
+from docpulse.streaming.timeouts import CAP_SECONDS, answers, settle_stream, submissions
 
 RESULT_NAME = r".*\.[jJ][sS][oO][nN]"
 
@@ -131,3 +133,22 @@ def quality_stream(
         check_batch(batch, out, run_id(name, number), mode, limits, None, file_metrics, page_metrics)
 
     return _start(stream, handle, checkpoint, name)
+
+
+def start_settlement(
+    outcomes: DataFrame, out: str, checkpoint: str, name: str = "settle", strict: bool = False,
+    cap_seconds: int = CAP_SECONDS, delay: str = "1 minute", clock: bool = False, sidecars: str | None = None,
+) -> StreamingQuery:
+    """Settle stored checks with a stream of outcomes (``event_time`` and the columns of ``route_outcomes``), then stop.
+
+    The checks come as a stream of their stored runs. Checks the gate refused are routed with the next settlement; those
+    without an outcome within the cap are routed as ``Timeout``.
+    """
+    spark = configure(outcomes.sparkSession)
+    stored = spark.readStream.schema(TABLES["checks"]).parquet(f"{out}/checks")
+    events = submissions(stored).unionByName(answers(outcomes))
+
+    def handle(batch: DataFrame, number: int) -> None:
+        settle_outcomes(batch.sparkSession, out, batch, run_id(name, number), strict, sidecars)
+
+    return _start(settle_stream(events, cap_seconds, delay, clock), handle, checkpoint, name)

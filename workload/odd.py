@@ -1,4 +1,4 @@
-"""Odd values, deep trees, bad files, repeated checks and real files, all made of the driver's orders."""
+"""Odd values, deep trees, bad files and repeated checks, all made of the driver's orders."""
 
 from __future__ import annotations
 
@@ -10,7 +10,6 @@ from docpulse.operators.leaf import of_kind
 from docpulse.plans.gate import check_batch
 from docpulse.plans.ingest import flat_rows, ingest_batch
 from docpulse.sources import tables as T
-from docpulse.streaming.loops import start_ingest, start_quality
 from workload import standins as S
 from workload.registry import query
 from workload.streams import fresh
@@ -146,23 +145,3 @@ def repeated_checks(spark, sf_dir):
     for run, mode in (("r1", "standard"), ("r2", "pro"), ("r2", "pro")):
         check_batch(files, out, run, mode)
     return T.checks(spark, out).select("blob_path", "mode", "passed")
-
-
-@query("""SELECT s_nationkey AS nation, CAST(MIN(s_suppkey) AS VARCHAR) AS value_string, CAST(1 AS BIGINT) AS checks, CAST(1 AS BIGINT) AS documents,
-  CAST(length(CAST(MIN(s_suppkey) AS VARCHAR)) + 1 AS BIGINT) AS bytes FROM supplier GROUP BY 1""")
-def real_files(spark, sf_dir):
-    """A raw file and a result file for each nation, written by Spark, then checked and ingested by the loops: each once."""
-    out = fresh(spark)
-    first = S.table(spark, sf_dir, "supplier").groupBy(F.lit("u").alias("u"), F.col("s_nationkey").alias("n")).agg(F.min("s_suppkey").cast("string").alias("value"))
-    first.repartition("n").write.partitionBy("u", "n").text(f"{out}/incoming")
-    result = F.struct(F.struct(F.col("value").alias("valueString")).alias("k")).alias("fieldLabels")
-    first.select("u", "n", result).repartition("n").write.partitionBy("u", "n").json(f"{out}/source")
-    for _ in range(2):  # a second start finds nothing
-        start_quality(spark, f"{out}/incoming", f"{out}/t", f"{out}/q", max_files=20).awaitTermination()
-        start_ingest(spark, f"{out}/source", f"{out}/t", f"{out}/i", max_files=20).awaitTermination()
-    nation = F.regexp_extract("blob_path", "/n=([0-9]+)/", 1).cast("bigint").alias("nation")
-    checks = T.checks(spark, f"{out}/t").filter("passed").groupBy(nation).agg(F.count("*").alias("checks"), F.sum("file_size_bytes").alias("bytes"))
-    documents = T.documents(spark, f"{out}/t")
-    fields = T.fields(spark, f"{out}/t", documents).select("document_id", "version_id", "value_string")
-    documents = documents.join(fields, ["document_id", "version_id"]).groupBy(nation, "value_string").agg(F.count("*").alias("documents"))
-    return documents.join(checks, "nation").select("nation", "value_string", "checks", "documents", "bytes")
