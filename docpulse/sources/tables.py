@@ -96,14 +96,18 @@ def close_checks(left: DataFrame, taken: list[str], out: str, run_id: str) -> No
 
 
 def documents(spark: SparkSession, out: str) -> DataFrame:
-    """Current documents."""
-    return current_documents(read_table(spark, out, "documents"))
+    """Current documents, from the newest snapshot and the runs after it."""
+    from docpulse.sources.snapshots import read_state
+
+    return current_documents(read_state(spark, out, "documents"))
 
 
 def fields(spark: SparkSession, out: str, current: DataFrame | None = None) -> DataFrame:
     """Fields of the current documents."""
+    from docpulse.sources.snapshots import read_state
+
     current = documents(spark, out) if current is None else current
-    return current_fields(read_table(spark, out, "fields"), current)
+    return current_fields(read_state(spark, out, "fields"), current)
 
 
 def checks(spark: SparkSession, out: str) -> DataFrame:
@@ -129,8 +133,10 @@ def register(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     The views join fields with the current documents by version, which leaves out the fields of
     replaced versions by itself: they get the stored fields as they are.
     """
+    from docpulse.sources.snapshots import read_state
+
     d, c = documents(spark, out), checks(spark, out)
-    return register_views(spark, d, read_table(spark, out, "fields"), c, issues(spark, out, c))
+    return register_views(spark, d, read_state(spark, out, "fields"), c, issues(spark, out, c))
 
 
 def save_bucketed(df: DataFrame, name: str, key: str = "document_id", buckets: int = 64) -> None:

@@ -10,6 +10,7 @@ from docpulse.plans.gate import settle_outcomes
 from docpulse.plans.ingest import ingest_batch
 from docpulse.session import shared_dir
 from docpulse.sources import tables as T
+from docpulse.sources.snapshots import compact, vacuum
 from docpulse.streaming.loops import ingest_stream, quality_stream
 from workload import standins as S
 from workload.quality import SMALL
@@ -62,6 +63,22 @@ def replay_idempotent(spark, sf_dir):
     return current.drop("field_count").join(counted, ["document_id", "version_id"]).select(*STORED)
 
 
+@query(STORED_SQL.format(run="CASE WHEN k % 2 = 0 THEN 'run-b' ELSE 'run-a' END"))
+def compacted_replay(spark, sf_dir):
+    """Ingested, compacted, half of it ingested again, compacted and cleared, and the second run retried."""
+    out, files = fresh(spark), S.order_files(spark, sf_dir)
+    half = files.filter(F.regexp_extract("path", r"(\d+)\.json$", 1).cast("bigint") % 2 == 0)
+    ingest_batch(files, out, "run-a")
+    compact(spark, out)
+    ingest_batch(half, out, "run-b")
+    compact(spark, out)
+    vacuum(spark, out)
+    ingest_batch(half, out, "run-b")
+    current = T.documents(spark, out)
+    counted = T.fields(spark, out, current).groupBy("document_id", "version_id").agg(F.count(F.lit(1)).cast("int").alias("field_count"))
+    return current.drop("field_count").join(counted, ["document_id", "version_id"]).select(*STORED)
+
+
 @query(f"""WITH {ORDERS_SQL} SELECT blob_path, v.path AS field_path, CASE v.path WHEN 'Customer.Key' THEN CAST(o_custkey AS VARCHAR) WHEN 'Date' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
     ELSE CAST(o_totalprice AS VARCHAR) END AS value_string,
   CASE WHEN v.path = 'Customer.Key' OR (v.path = 'Total' AND k % 5 = 0) THEN NULL ELSE c END AS confidence FROM od, (VALUES ('Total'), ('Date'), ('Customer.Key')) v(path)""")
