@@ -90,6 +90,16 @@ def backlink(documents: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def late_links(documents: DataFrame, links: DataFrame) -> DataFrame:
+    """Processed documents without a check take that of a stamp that came after they were ingested; others keep theirs."""
+    missing = F.col("preprocess_check_id").isNull() & F.col("processed_blob_url").isNotNull()
+    late = backlink(documents.filter(missing).select("blob_path").distinct(), links).filter("preprocess_check_id IS NOT NULL").select(
+        "blob_path", F.col("preprocess_check_id").alias("__late"))
+    check = F.coalesce("preprocess_check_id", F.when(missing, F.col("__late"))).alias("preprocess_check_id")
+    return documents.join(late, "blob_path", "left").select(
+        *[check if c == "preprocess_check_id" else F.col(c) for c in documents.columns])
+
+
 def width_violations(widths: dict[str, int]) -> Column:
     """Names of the columns of a row that do not fit their stored width; '' when all do."""
     return F.concat_ws(", ", *[F.when(too_wide(F.col(c), n), c) for c, n in widths.items()])

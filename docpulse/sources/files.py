@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-import os
 import re
+import sys
+import uuid
 from collections.abc import Iterator
-from urllib.parse import urlsplit
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docpulse.session import shared_dir
+from docpulse.sources import stores
+from docpulse.sources.stores import open_store
+
+cloudpickle.register_pickle_by_value(stores)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 RESULT_GLOB = "*.[jJ][sS][oO][nN]"
 RAW = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 # The longest text or byte array a row can hold is below 2 GiB; a text needs some room to be decoded.
@@ -98,34 +107,38 @@ def read_images(spark: SparkSession, src: str, paths: list[str] | None = None) -
     return rows.select(origin.alias("path"), "image")
 
 
-def list_files(spark: SparkSession, src: str) -> DataFrame:
-    """Manifest ``path, is_file, length`` with empty files, listed folder by folder in tasks.
+def list_files(spark: SparkSession, src: str, prefix: str = "", most: int | None = None) -> DataFrame:
+    """Manifest ``path, is_file, length`` of the third level below ``src``, empty files too, from any store.
 
-    For object stores pass the store's inventory as the manifest instead.
+    Folders are listed level by level in tasks, a folder each, and what a level finds is written before the next one begins,
+    so that no name goes through the driver. A folder that cannot hold names that start with ``prefix`` is not
+    opened; ``most`` keeps the first names in order.
     """
-    if urlsplit(src).scheme not in ("", "file"):
-        raise ValueError("list_files reads mounted folders; pass an inventory table for other stores")
-    root = root_path(spark, src)
+    folder = f"{shared_dir(spark)}/docpulse-listing-{uuid.uuid4().hex}"
 
-    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def below(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(src)
         for batch in batches:
-            for folder in batch["folder"]:
-                rows = []
-                for entry in os.scandir(os.path.join(root, folder)):
-                    is_file = entry.is_file()
-                    rows.append((f"{folder}/{entry.name}", is_file, entry.stat().st_size if is_file else 0))
-                    if len(rows) == 10_000:
-                        yield pd.DataFrame(rows, columns=["path", "is_file", "length"])
-                        rows = []
-                yield pd.DataFrame(rows, columns=["path", "is_file", "length"])
-
-    usecases = sorted(e.name for e in os.scandir(root) if e.is_dir())
-    first = spark.createDataFrame([(u,) for u in usecases], "folder STRING")
-    analyzers = first.repartition(max(1, len(usecases))).mapInPandas(
-        lambda batches: (
-            pd.DataFrame({"folder": [f"{u}/{e.name}" for e in os.scandir(os.path.join(root, u)) if e.is_dir()]})
-            for batch in batches for u in batch["folder"]
-        ),
-        "folder STRING",
-    )
-    return analyzers.repartition("folder").mapInPandas(below, "path STRING, is_file BOOLEAN, length BIGINT")
+            for own in batch.column(0).to_pylist():
+                base = f"{root}/{own}" if own else root
+                found = store.get_file_info(pafs.FileSelector(base, allow_not_found=True))
+                for start in range(0, len(found), 10_000):
+                    part = [i for i in found[start:start + 10_000]
+                            if not i.base_name.startswith(("_", ".")) or i.type == pafs.FileType.File]
+                    files = [i.type == pafs.FileType.File for i in part]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([f"{own}/{i.base_name}".lstrip("/") for i in part], pa.string()), pa.array(files, pa.bool_()),
+                        pa.array([i.size if f else 0 for i, f in zip(part, files)], pa.int64())], ["path", "is_file", "length"])
+
+    rows = spark.createDataFrame([("",)], "path STRING")
+    for level in range(3):
+        # a folder a task: a level of many folders is spread by name, one wide folder is one listing call
+        tasks = rows.repartition("path") if level else rows
+        tasks.mapInArrow(below, "path STRING, is_file BOOLEAN, length BIGINT").write.parquet(f"{folder}/{level}")
+        found = spark.read.schema("path STRING, is_file BOOLEAN, length BIGINT").parquet(f"{folder}/{level}")
+        rows = found.filter("NOT is_file").select("path")
+        if prefix:
+            inside = F.concat("path", F.lit("/"))
+            rows = rows.filter(F.startswith(F.lit(prefix), inside) | F.startswith(inside, F.lit(prefix)))
+    found = found.filter(F.col("path").startswith(prefix)) if prefix else found
+    return found if most is None else found.orderBy("path").limit(most)

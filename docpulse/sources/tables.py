@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from docpulse import schemas
 from docpulse.operators.checks import OUTCOME_COLUMNS, apply_outcomes
-from docpulse.operators.documents import current_documents, current_fields, surviving_children
+from docpulse.operators.documents import current_documents, current_fields, late_links, surviving_children
 from docpulse.plans.views import register_views
 
 PATCHES = "check_id BIGINT, submitted_to_cu BOOLEAN, " + ", ".join(
@@ -96,10 +96,10 @@ def close_checks(left: DataFrame, taken: list[str], out: str, run_id: str) -> No
 
 
 def documents(spark: SparkSession, out: str) -> DataFrame:
-    """Current documents, from the newest snapshot and the runs after it."""
+    """Current documents, from the newest snapshot and the runs after it, with links that came later than they did."""
     from docpulse.sources.snapshots import read_state
 
-    return current_documents(read_state(spark, out, "documents"))
+    return late_links(current_documents(read_state(spark, out, "documents")), read_table(spark, out, "links"))
 
 
 def fields(spark: SparkSession, out: str, current: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from docpulse.plans.gate import check_batch, settle_outcomes
 from docpulse.plans.ingest import ingest_batch
 from docpulse.sources import tables as T
+from docpulse.sources.files import list_files
 from docpulse.sources.sidecars import publish_sidecars, read_sidecars
 from docpulse.streaming.loops import start_ingest, start_quality
 from docpulse.streaming.timeouts import settle_stream
@@ -111,6 +112,32 @@ def open_checks(spark, sf_dir):
     return T.read_open(spark, out).select("blob_path", "state")
 
 
+@query("""SELECT 'source/' || o_orderpriority || '/an-' || o_orderstatus || '/' || CAST(o_orderkey AS VARCHAR) || '.json' AS blob_path,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey * 10 WHEN o_orderkey % 2 = 0 THEN o_orderkey * 10 + 1 END AS preprocess_check_id FROM orders""")
+def late_links(spark, sf_dir):
+    """Documents whose stamp was stored before they were ingested, after it, both, or never."""
+    out, files = fresh(spark), S.order_files(spark, sf_dir)
+    key = F.regexp_extract("path", r"(\d+)\.json$", 1).cast("bigint")
+    for run, each, add in (("l1", 3, 0), ("l2", 2, 1)):
+        links = files.filter(key % each == 0).select(F.col("path").alias("result_path"), (key * 10 + add).alias("check_id"), F.col("path").alias("raw_path"))
+        T.publish(links, out, "links", run)
+        if run == "l1":
+            ingest_batch(files, out, "r1", T.read_table(spark, out, "links"))
+    return T.documents(spark, out).select("blob_path", "preprocess_check_id")
+
+
+@query("""SELECT 'u' || CAST(s_nationkey AS VARCHAR) || '/a/' || CAST(s_suppkey AS VARCHAR) || '.json' AS path,
+  CAST(CASE WHEN s_suppkey % 4 = 0 THEN 0 ELSE length(CAST(s_suppkey AS VARCHAR)) END AS BIGINT) AS length FROM supplier WHERE CAST(s_nationkey AS VARCHAR) LIKE '1%'""")
+def listed_objects(spark, sf_dir):
+    """Files of one prefix, empty ones too, listed in tasks."""
+    out, text = fresh(spark), F.col("s_suppkey").cast("string")
+    suppliers = S.table(spark, sf_dir, "supplier")
+    publish_sidecars(suppliers.select(
+        F.concat(F.lit("u"), F.col("s_nationkey").cast("string"), F.lit("/a/"), text, F.lit(".json")).alias("path"),
+        F.when(F.col("s_suppkey") % 4 == 0, "").otherwise(text).alias("text")), f"{out}/source")
+    return list_files(spark, f"{out}/source", prefix="u1").filter("is_file").select("path", "length")
+
+
 @query("""WITH s AS (SELECT s_suppkey AS k, CAST(s_suppkey AS VARCHAR) AS t FROM supplier)
 SELECT k AS supplier, CASE WHEN k % 5 = 0 THEN t || '-new' ELSE t END AS value_string, CAST(CASE WHEN k % 5 = 0 THEN 2 ELSE 1 END AS BIGINT) AS checks,
   CAST(CASE WHEN k % 5 = 0 AND k % 10 <> 0 THEN 2 ELSE 1 END AS BIGINT) AS passed, CAST(CASE WHEN k % 10 = 0 THEN 1 ELSE 0 END AS BIGINT) AS errors FROM s""")
