@@ -32,7 +32,18 @@ def merge_spellings(
     ``measures`` maps an output name to (aggregate, function that merges partial results). The
     least spelling of a name is shown.
     """
-    partial = df.groupBy(*exact, *names).agg(*[c.alias(n) for n, (c, _) in measures.items()])
+    return merge_partials(exact_partials(df, names, exact, measures), names, exact, measures)
+
+
+def exact_partials(df: DataFrame, names: list[str], exact: list[str], measures: dict[str, tuple[Column, str]]) -> DataFrame:
+    """The measures by exact spelling."""
+    return df.groupBy(*exact, *names).agg(*[c.alias(n) for n, (c, _) in measures.items()])
+
+
+def merge_partials(
+    partial: DataFrame, names: list[str], exact: list[str], measures: dict[str, tuple[Column, str]]
+) -> DataFrame:
+    """Partial measures of any number of spellings, and of any number of parts of the data, as one row a group."""
     keys = [ci_key(name).alias(f"__{name}") for name in names]
     return (
         partial.groupBy(*exact, *keys)
@@ -105,54 +116,65 @@ def low_confidence_fields(
     )
 
 
-def field_stats_by_analyzer(
-    fields: DataFrame, documents: DataFrame, low: float = C.LOW_CONFIDENCE,
-    high: float = C.HIGH_CONFIDENCE,
-) -> DataFrame:
-    """Confidence statistics per use case, analyzer, field and type."""
+FIELD_NAMES = ["usecase", "analyzer_name", "field_name", "field_type"]
+GROUP_NAMES = ["usecase", "analyzer_name"]
+
+
+def field_measures(low: float = C.LOW_CONFIDENCE, high: float = C.HIGH_CONFIDENCE) -> dict[str, tuple[Column, str]]:
+    """What is counted of the rated fields of a group."""
+    confidence = F.col("confidence")
+    return {
+        "observations": (F.count(F.lit(1)), "sum"),
+        "confidence_sum": (F.sum(confidence), "sum"),
+        "min_confidence": (F.min(confidence), "min"),
+        "max_confidence": (F.max(confidence), "max"),
+        "low_count": (F.count_if(confidence < as_confidence(low)), "sum"),
+        "high_count": (F.count_if(confidence >= as_confidence(high)), "sum"),
+        "first_seen": (F.min("ingested_at"), "min"),
+        "last_seen": (F.max("ingested_at"), "max"),
+    }
+
+
+def rated_fields(fields: DataFrame, documents: DataFrame, *more: str) -> DataFrame:
+    """Fields with a confidence and their document's names, and ``more`` columns of the document."""
     keys = version_keys(fields, documents)
     rated = fields.filter(F.col("confidence").isNotNull()).select(
         *keys, "field_name", "field_type", "confidence"
     )
-    d = documents.select(*keys, "usecase", "analyzer_name", "ingested_at")
-    confidence = F.col("confidence")
-    names = ["usecase", "analyzer_name", "field_name", "field_type"]
-    merged = merge_spellings(
-        rated.join(d, keys, "inner"),
-        names=names,
-        exact=[],
-        measures={
-            "observations": (F.count(F.lit(1)), "sum"),
-            "confidence_sum": (F.sum(confidence), "sum"),
-            "min_confidence": (F.min(confidence), "min"),
-            "max_confidence": (F.max(confidence), "max"),
-            "low_count": (F.count_if(confidence < as_confidence(low)), "sum"),
-            "high_count": (F.count_if(confidence >= as_confidence(high)), "sum"),
-            "first_seen": (F.min("ingested_at"), "min"),
-            "last_seen": (F.max("ingested_at"), "max"),
-        },
-    )
+    d = documents.select(*keys, "usecase", "analyzer_name", "ingested_at", *more)
+    return rated.join(d, keys, "inner")
+
+
+def field_report(merged: DataFrame) -> DataFrame:
+    """The report's columns from merged measures."""
     return merged.select(
-        *names, "observations",
+        *FIELD_NAMES, "observations",
         (F.col("confidence_sum").cast("double") / F.col("observations")).alias("avg_confidence"),
         "min_confidence", "max_confidence", "low_count", "high_count", "first_seen", "last_seen",
     )
 
 
-def daily_ingestion(documents: DataFrame) -> DataFrame:
-    """Volume and quality per day, use case and analyzer; documents weigh the same."""
-    merged = merge_spellings(
-        documents.withColumn("ingested_date", F.to_date("ingested_at")),
-        names=["usecase", "analyzer_name"],
-        exact=["ingested_date"],
-        measures={
-            "document_count": (F.count(F.lit(1)), "sum"),
-            "total_fields": (F.sum("field_count"), "sum"),
-            "average_sum": (F.sum("avg_confidence"), "sum"),
-            "rated": (F.count("avg_confidence"), "sum"),
-            "worst_field_confidence": (F.min("min_confidence"), "min"),
-        },
-    )
+def field_stats_by_analyzer(
+    fields: DataFrame, documents: DataFrame, low: float = C.LOW_CONFIDENCE,
+    high: float = C.HIGH_CONFIDENCE,
+) -> DataFrame:
+    """Confidence statistics per use case, analyzer, field and type."""
+    return field_report(merge_spellings(rated_fields(fields, documents), FIELD_NAMES, [], field_measures(low, high)))
+
+
+def document_measures() -> dict[str, tuple[Column, str]]:
+    """What is counted of the documents of a group."""
+    return {
+        "document_count": (F.count(F.lit(1)), "sum"),
+        "total_fields": (F.sum("field_count"), "sum"),
+        "average_sum": (F.sum("avg_confidence"), "sum"),
+        "rated": (F.count("avg_confidence"), "sum"),
+        "worst_field_confidence": (F.min("min_confidence"), "min"),
+    }
+
+
+def document_report(merged: DataFrame) -> DataFrame:
+    """The report's columns from merged measures."""
     return merged.select(
         "ingested_date", "usecase", "analyzer_name", "document_count", "total_fields",
         F.try_divide(F.col("average_sum").cast("double"), "rated").alias("avg_confidence"),
@@ -160,6 +182,12 @@ def daily_ingestion(documents: DataFrame) -> DataFrame:
     )
 
 
+def daily_ingestion(documents: DataFrame) -> DataFrame:
+    """Volume and quality per day, use case and analyzer; documents weigh the same."""
+    return document_report(merge_spellings(
+        documents.withColumn("ingested_date", F.to_date("ingested_at")), GROUP_NAMES, ["ingested_date"], document_measures()))
+
+
 _CHECK_COLUMNS = [
     "check_id", "blob_path", "usecase", "analyzer_name", "file_name", "extension",
     "detected_kind", "file_size_bytes", "mode", "passed", "score", "band", "error_count",
@@ -212,24 +240,23 @@ def rejected_documents(checks: DataFrame) -> DataFrame:
     )
 
 
-def preprocess_daily_summary(checks: DataFrame) -> DataFrame:
-    """Inspection volume, results and mean score per day, use case and analyzer."""
+def check_measures() -> dict[str, tuple[Column, str]]:
+    """What is counted of the checks of a group."""
     status = F.lower("cu_status")
-    merged = merge_spellings(
-        checks.withColumn("checked_date", F.to_date("checked_at")),
-        names=["usecase", "analyzer_name"],
-        exact=["checked_date"],
-        measures={
-            "total_inspected": (F.count(F.lit(1)), "sum"),
-            "passed_count": (F.count_if("passed"), "sum"),
-            "rejected_count": (F.count_if(~F.col("passed")), "sum"),
-            "cu_succeeded_count": (F.count_if(status == "succeeded"), "sum"),
-            "cu_failed_count": (F.count_if(status.isin("failed", "timeout")), "sum"),
-            "score_sum": (F.sum("score"), "sum"),
-            "total_errors": (F.sum("error_count"), "sum"),
-            "total_warnings": (F.sum("warning_count"), "sum"),
-        },
-    )
+    return {
+        "total_inspected": (F.count(F.lit(1)), "sum"),
+        "passed_count": (F.count_if("passed"), "sum"),
+        "rejected_count": (F.count_if(~F.col("passed")), "sum"),
+        "cu_succeeded_count": (F.count_if(status == "succeeded"), "sum"),
+        "cu_failed_count": (F.count_if(status.isin("failed", "timeout")), "sum"),
+        "score_sum": (F.sum("score"), "sum"),
+        "total_errors": (F.sum("error_count"), "sum"),
+        "total_warnings": (F.sum("warning_count"), "sum"),
+    }
+
+
+def check_report(merged: DataFrame) -> DataFrame:
+    """The report's columns from merged measures."""
     return merged.select(
         "checked_date", "usecase", "analyzer_name", "total_inspected", "passed_count",
         "rejected_count", "cu_succeeded_count", "cu_failed_count",
@@ -238,6 +265,12 @@ def preprocess_daily_summary(checks: DataFrame) -> DataFrame:
     )
 
 
+def preprocess_daily_summary(checks: DataFrame) -> DataFrame:
+    """Inspection volume, results and mean score per day, use case and analyzer."""
+    return check_report(merge_spellings(
+        checks.withColumn("checked_date", F.to_date("checked_at")), GROUP_NAMES, ["checked_date"], check_measures()))
+
+
 def register_views(
     spark: SparkSession, documents: DataFrame, fields: DataFrame, checks: DataFrame,
     issues: DataFrame,

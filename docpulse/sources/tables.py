@@ -110,15 +110,18 @@ def fields(spark: SparkSession, out: str, current: DataFrame | None = None) -> D
     return current_fields(read_state(spark, out, "fields"), current)
 
 
-def checks(spark: SparkSession, out: str) -> DataFrame:
-    """Checks with the newest outcome of each; checking a file again adds a check."""
-    patches = read_table(spark, out, "patches")
+def checks(spark: SparkSession, out: str, runs: list[str] | None = None) -> DataFrame:
+    """Checks, of ``runs`` where given, with the newest outcome of each; checking a file again adds a check."""
+    found, patches = read_table(spark, out, "checks"), read_table(spark, out, "patches")
+    if runs is not None:
+        found = found.filter(F.col("run_id").isin(runs))
+        patches = patches.join(found.select("check_id"), "check_id", "left_semi")
     columns = [c for c in patches.columns if c not in ("check_id", "run_id")]
     newest = patches.groupBy("check_id").agg(
         F.max_by(F.struct(*columns), F.struct("completed_at", "run_id")).alias("p")
     ).select("check_id", "p.*")
     # Every run's check of a file is a check of its own.
-    return apply_outcomes(read_table(spark, out, "checks"), newest)
+    return apply_outcomes(found, newest)
 
 
 def issues(spark: SparkSession, out: str, current: DataFrame | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from docpulse.plans import partials as P
 from docpulse.plans.gate import check_batch, settle_outcomes
 from docpulse.plans.ingest import ingest_batch
 from docpulse.sources import tables as T
@@ -170,3 +171,57 @@ def real_files(spark, sf_dir):
     documents = documents.join(fields, ["document_id", "version_id"]).select(supplier, "value_string")
     return documents.join(checks, "supplier").join(errors, "supplier", "left").select(
         "supplier", "value_string", "checks", "passed", F.coalesce("errors", F.lit(0)).alias("errors"))
+
+
+# Every order in run-a; every second once more in run-b, with another confidence, spelled in capitals; run-b written again with every fourth only.
+REPLAYED_SQL = """WITH d AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'U' ELSE 'u' END AS usecase, 'a' || CAST(o_orderkey % 7 AS VARCHAR) AS analyzer_name,
+  CASE WHEN o_orderkey % 4 = 0 THEN DATE '2024-01-02' ELSE DATE '2024-01-01' END AS day,
+  CAST(CASE WHEN o_orderkey % 4 = 0 THEN 10 - o_orderkey % 9 ELSE 1 + o_orderkey % 9 END AS BIGINT) AS tenths FROM orders)"""
+
+
+def replayed_shares(spark, sf_dir):
+    """Two runs of the orders, the second replayed with less in it; shares refreshed after each."""
+    out, key = fresh(spark), F.col("o_orderkey")
+    orders = S.table(spark, sf_dir, "orders")
+    for run, each, user, day, tenths in (("run-a", 1, "u", 1, 1 + key % 9), ("run-b", 2, "U", 2, 1 + key % 9), ("run-b", 4, "U", 2, 10 - key % 9)):
+        value = F.concat(F.lit('{"fieldLabels":{"k":{"type":"string","valueString":"v","confidence":'), (tenths / F.lit(10.0)).cast("string"), F.lit("}}}"))
+        path = F.concat(F.lit(f"{user}/a"), (key % 7).cast("string"), F.lit("/"), key.cast("string"), F.lit(".json"))
+        ingest_batch(orders.filter(key % each == 0).select(path.alias("path"), value.alias("value")), out, run,
+                     ingested_at=F.lit(f"2024-01-{day:02d}").cast("timestamp"))
+        P.refresh(spark, out)
+    return out
+
+
+@query(f"""{REPLAYED_SQL} SELECT MIN(usecase) AS usecase, analyzer_name, 'k' AS field_name, COUNT(*) AS observations,
+  CAST(SUM(tenths) AS DOUBLE) / 10 / COUNT(*) AS avg_confidence, CAST(MIN(tenths) / 10.0 AS DECIMAL(5,4)) AS min_confidence,
+  CAST(MAX(tenths) / 10.0 AS DECIMAL(5,4)) AS max_confidence, COUNT(*) FILTER (tenths < 7) AS low_count, COUNT(*) FILTER (tenths >= 9) AS high_count,
+  CAST(MIN(day) AS TIMESTAMP) AS first_seen, CAST(MAX(day) AS TIMESTAMP) AS last_seen FROM d GROUP BY lower(usecase), analyzer_name""")
+def shares_of_fields(spark, sf_dir):
+    """The report on fields from shares of runs, after a replay that brings replaced versions back."""
+    return P.report(spark, replayed_shares(spark, sf_dir), "fields").drop("field_type")
+
+
+@query(f"""{REPLAYED_SQL} SELECT day AS ingested_date, usecase, analyzer_name, COUNT(*) AS document_count, COUNT(*) AS total_fields,
+  CAST(SUM(tenths) AS DOUBLE) / 10 / COUNT(*) AS avg_confidence, CAST(MIN(tenths) / 10.0 AS DECIMAL(5,4)) AS worst_field_confidence
+FROM d GROUP BY day, usecase, analyzer_name""")
+def shares_of_documents(spark, sf_dir):
+    """The report on days from shares of runs, after a replay that brings replaced versions back."""
+    return P.report(spark, replayed_shares(spark, sf_dir), "documents")
+
+
+@query("""SELECT DATE '2024-01-01' AS checked_date, 'u' AS usecase, 'a' AS analyzer_name, COUNT(*) AS total_inspected, COUNT(*) FILTER (c_custkey % 3 <> 0) AS passed_count,
+  COUNT(*) FILTER (c_custkey % 3 = 0) AS rejected_count, COUNT(*) FILTER (c_custkey % 3 <> 0 AND c_custkey % 5 = 1) AS cu_succeeded_count,
+  COUNT(*) FILTER (c_custkey % 3 <> 0 AND c_custkey % 5 = 2) AS cu_failed_count FROM customer""")
+def shares_of_checks(spark, sf_dir):
+    """The report on checks from shares of runs, after two settlements."""
+    out = fresh(spark)
+    check_batch(raw_customers(spark, sf_dir), out, "r1")
+    key, text = F.regexp_extract("file_name", r"^(\d+)", 1).cast("bigint"), F.lit(None).cast("string")
+    for part, status in ((1, "Succeeded"), (2, "Failed")):
+        P.refresh(spark, out)
+        settle_outcomes(spark, out, T.checks(spark, out).filter("passed").filter(key % 5 == part).select(
+            "check_id", F.lit(status).alias("status"), text.alias("operation_location"), text.alias("error_message"),
+            F.lit(True).alias("write_ok"), F.lit(False).alias("failed_call")), f"s{part}")
+    P.refresh(spark, out)
+    return P.report(spark, out, "checks").withColumn("checked_date", F.lit("2024-01-01").cast("date")).drop(
+        "avg_quality_score", "total_errors", "total_warnings")
