@@ -52,6 +52,9 @@ HEIF_EXTENSIONS = [".heif", ".heic"]
 HEIF_BRANDS = ["ftypheic", "ftypheix", "ftyphevc", "ftypmif1", "ftypmsf1"]
 HEAD_BYTES = 32
 
+# Fixed value: pixels beyond which an image is refused undecoded, as a likely decompression bomb; counts as one that cannot be opened.
+MOST_PIXELS = 178_956_970
+
 # Content types sent with a raw file.
 CONTENT_TYPES = {
     ".pdf": "application/pdf",

@@ -39,9 +39,9 @@ def _pixel_udf():
         out[1:-1, 1:-1] = np.clip(edge, 0, 255)
         return out
 
-    def moments(values: np.ndarray) -> tuple[float, float]:
+    def moments(counts: np.ndarray) -> tuple[float, float]:
         # Mean and population variance from the histogram, exact up to the last division.
-        counts = [int(c) for c in np.bincount(values.ravel(), minlength=256)]
+        counts = [int(c) for c in counts]
         n = sum(counts)
         total = sum(i * c for i, c in enumerate(counts))
         squares = sum(i * i * c for i, c in enumerate(counts))
@@ -50,9 +50,18 @@ def _pixel_udf():
     def one(h, w, c, data):
         if data is None or not (h > 0 and w > 0):
             return None, None, None
-        grey = grey_of(int(h), int(w), int(c), data)
-        mean, variance = moments(grey)
-        return mean, variance**0.5, moments(laplacian(grey))[1]
+        h, w, c = int(h), int(w), int(c)
+        # By bands of rows with a neighbour on each side: what is held next to the image does not grow with it.
+        step = max(1, 4_000_000 // w)
+        plain, edges = np.zeros(256, np.int64), np.zeros(256, np.int64)
+        for top in range(0, h, step):
+            first, rows = max(top - 1, 0), min(top + step + 1, h) - max(top - 1, 0)
+            grey = grey_of(rows, w, c, memoryview(data)[first * w * c:(first + rows) * w * c])
+            own = slice(top - first, top - first + min(step, h - top))
+            plain += np.bincount(grey[own].ravel(), minlength=256)
+            edges += np.bincount(laplacian(grey)[own].ravel(), minlength=256)
+        mean, variance = moments(plain)
+        return mean, variance**0.5, moments(edges)[1]
 
     @F.pandas_udf(_STATS)
     def pixel_stats(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:

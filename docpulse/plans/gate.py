@@ -18,7 +18,7 @@ from docpulse.operators.pixels import image_features, image_size
 from docpulse.plans.quality import check_files, content_features, file_rows
 from docpulse.operators.rules import largest
 from docpulse.session import clear_staging, configure, staging_dir
-from docpulse.sources.files import read_contents, read_images
+from docpulse.sources.files import read_contents, read_heads, read_images
 from docpulse.sources.sidecars import publish_sidecars
 from docpulse.sources.tables import OPEN_PARTS, close_checks, publish, publish_open, read_open, read_run, read_table
 
@@ -26,11 +26,17 @@ from docpulse.sources.tables import OPEN_PARTS, close_checks, publish, publish_o
 def check_batch(
     content: DataFrame, out: str, run_id: str, mode: str = "standard", limits: Limits = LIMITS,
     manifest: DataFrame | None = None, file_metrics: DataFrame | None = None,
-    page_metrics: DataFrame | None = None, images: DataFrame | None = None, deferred: int = 0,
+    page_metrics: DataFrame | None = None, images: DataFrame | None = None, deferred: int = 0, heads: DataFrame | None = None,
 ) -> None:
-    """Judge raw files (``path, modificationTime, length, content``) and store checks and issues."""
+    """Judge raw files (``path, modificationTime, length, content``) and store checks and issues.
+
+    ``heads`` has the first bytes (``path, head``) of files of the manifest whose content is not read.
+    """
     spark = configure(content.sparkSession)
-    rows = file_rows(content_features(content), manifest)
+    features = content_features(content)
+    if heads is not None:
+        features = features.unionByName(heads, allowMissingColumns=True)
+    rows = file_rows(features, manifest)
     checked = check_files(rows, file_metrics, page_metrics, images, mode, limits, run_id)
     # Judged once, then written to two tables.
     folder = f"{staging_dir(spark, out, run_id)}/checked"
@@ -86,7 +92,7 @@ def check_listed(
 ) -> None:
     """Judge listed files below ``src`` (``path, modificationTime, length``): one check for each.
 
-    Bytes are read of files within the largest limit; larger ones are judged by their size alone. The
+    Bytes are read of files within the largest limit; larger ones are judged by their size and first bytes. The
     paths of the batch are gathered here: the trigger bounds how many they are.
     """
     manifest = listed.select("path", F.lit(True).alias("is_file"), "length", F.col("modificationTime").alias("modified"))
@@ -94,25 +100,26 @@ def check_listed(
     paths = [r.path for r in listed.filter(F.col("length").between(1, longest)).select("path").collect()]
     content = read_contents(spark, src, paths, longest)
     check_batch(content, out, run_id, mode, limits, manifest, file_metrics, page_metrics,
-                batch_images(spark, src, content, limits), deferred)
+                batch_images(spark, src, content), deferred,
+                read_heads(spark, src, listed.filter(F.col("length") > longest), C.HEAD_BYTES))
 
 
-def batch_images(spark, src: str, content: DataFrame, limits: Limits = LIMITS) -> DataFrame | None:
+def batch_images(spark, src: str, content: DataFrame) -> DataFrame | None:
     """Features of the images among ``content``.
 
-    Their headers tell the dimensions: images with a side beyond the limit have these features only,
-    since decoding them could take more memory than a task has; the others go to the decoder.
+    Their headers tell the dimensions: an image of more pixels than ``MOST_PIXELS`` counts as one that cannot be opened, without
+    being decoded; all others go to the decoder, whatever their sides.
     """
     name = F.substring_index(F.col("path"), "/", -1)
     is_image = detect_kind(checked_extension(name)) == "image"
     sizes = content.filter(is_image).select("path", image_size("content").alias("s")).select("path", "s.*").collect()
-    huge = [r for r in sizes if r.width is not None and max(r.width, r.height) > limits.image_max_side]
+    huge = [r for r in sizes if r.width is not None and r.width * r.height > C.MOST_PIXELS]
     skip = {r.path for r in huge}
     paths = [r.path for r in sizes if r.path not in skip]
     parts = [image_features(read_images(spark, src, paths))] if paths else []
     if huge:
         parts.append(spark.createDataFrame(
-            [(r.path, True, r.width, r.height, None, None, None, None) for r in huge],
+            [(r.path, False, None, None, None, None, None, None) for r in huge],
             "path STRING, decoded BOOLEAN, width INT, height INT, image_mode STRING, mean DOUBLE, stdev DOUBLE, blur DOUBLE"))
     return reduce(DataFrame.unionByName, parts) if parts else None
 

@@ -80,6 +80,23 @@ def read_contents(spark: SparkSession, src: str, paths: list[str], longest: int)
     return _raw(reader, spark, src, located(src, paths)).filter(F.col("length") <= longest)
 
 
+def read_heads(spark: SparkSession, src: str, listed: DataFrame, size: int) -> DataFrame:
+    """The first ``size`` bytes of listed files (``path``) as ``path, head``, read in tasks; NULL for files that cannot be read."""
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(src)
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                try:
+                    with store.open_input_file(f"{root}/{path}") as file:
+                        found.append(file.read_at(size, 0))
+                except OSError:
+                    found.append(None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["path", "head"])
+
+    return listed.select("path").mapInArrow(heads, "path STRING, head BINARY")
+
+
 def _raw(reader, spark: SparkSession, src: str, where) -> DataFrame:
     rows = reader.format("binaryFile").option("recursiveFileLookup", True).load(where)
     return rows.withColumn("path", relative_path(F.col("path"), root_path(spark, src), False))

@@ -4,6 +4,9 @@ import struct
 import zlib
 from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -227,3 +230,17 @@ def test_pdf_path_end_to_end(spark):
     # Scan pages 0, 2, 4, 7, 9 of the low-text list; page 4 could not be rendered.
     assert meta["scan_pages_analyzed"] == 4
     assert [x.code for x in r.issues] == ["PDF_LOW_TEXT_DENSITY", "PDF_MANY_LOW_TEXT_PAGES", "PDF_SCAN_BLURRY", "PDF_SCAN_SKEWED"]
+
+
+def test_pixels_by_bands_equal_those_of_the_whole(spark, folder):
+    """An image of three bands, with the neighbours of rows in other bands."""
+    height, width = 3_000, 3_001
+    noise = np.random.default_rng(5).integers(0, 256, (height, width), dtype=np.uint8)
+    g = noise.astype(np.int64)
+    edges = g.copy()
+    edges[1:-1, 1:-1] = np.clip(g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1], 0, 255)
+    pq.write_table(pa.table({"path": ["a"], "height": [height], "width": [width], "data": [noise.tobytes()]}), f"{folder}/image.parquet")
+    images = spark.read.parquet(f"{folder}/image.parquet").selectExpr(
+        "path", "struct(CAST(height AS INT) AS height, CAST(width AS INT) AS width, 1 AS nChannels, 0 AS mode, data) AS image")
+    row = image_features(images).first()
+    assert (row.mean, row.stdev, row.blur) == pytest.approx((noise.mean(), noise.std(), edges.var()))

@@ -239,10 +239,11 @@ def test_unreadable_results_are_errors(spark, folder):
     assert [(r.blob_path, r.error_kind) for r in T.read_table(spark, folder, "errors").collect()] == [("source/u/a/x.json", "ReadError")]
 
 
-def one_bit_png(side):
+def one_bit_png(side, height=None):
+    height = height or side
     chunk = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-    rows = zlib.compress(bytes((side + 7) // 8 + 1) * side, 9)
-    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, side, 1, 0, 0, 0, 0))
+    rows = zlib.compress(bytes((side + 7) // 8 + 1) * height, 9)
+    return (b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", side, height, 1, 0, 0, 0, 0))
             + chunk(b"IDAT", rows) + chunk(b"IEND", b""))
 
 
@@ -253,18 +254,22 @@ def test_quality_accounts_for_every_file(spark, folder):
     write(src, "lost.txt", "no place")
     write(src, "u/a/scan[1].png", b"\x89PNG\r\n\x1a\nbroken")
     write(src, "u/a/huge.png", one_bit_png(20_000))
-    write(src, "u/a/large.pdf", "%PDF-")
-    os.truncate(f"{src}/u/a/large.pdf", 2_200_000_000)  # sparse: takes no room
+    write(src, "u/a/wide.png", one_bit_png(10_001, 200))
+    for name, head in (("large", "%PDF-"), ("other", "PK")):
+        write(src, f"u/a/{name}.pdf", head)
+        os.truncate(f"{src}/u/a/{name}.pdf", 2_200_000_000)  # sparse: takes no room
     for _ in range(2):
         start_quality(spark, src, out, f"{folder}/q", max_files=2).awaitTermination()
         codes = {}
         for r in views.preprocess_issues(T.issues(spark, out), T.checks(spark, out)).collect():
             codes.setdefault(r.file_name, set()).add(r.code)
-        assert codes == {"empty.txt": {"FILE_EMPTY"}, "scan[1].png": {"IMAGE_OPEN_FAILED"}, "huge.png": {"IMAGE_TOO_LARGE"},
-                         "large.pdf": {"FILE_TOO_LARGE", "PDF_DEEP_CHECK_SKIPPED"}}
-        assert sorted(r.file_name for r in T.checks(spark, out).collect()) == ["empty.txt", "good.txt", "huge.png", "large.pdf", "scan[1].png"]
+        assert codes == {"empty.txt": {"FILE_EMPTY"}, "scan[1].png": {"IMAGE_OPEN_FAILED"}, "huge.png": {"IMAGE_OPEN_FAILED"},
+                         "wide.png": {"IMAGE_TOO_LARGE", "IMAGE_BLURRY", "IMAGE_LOW_CONTRAST"},
+                         "large.pdf": {"FILE_TOO_LARGE", "PDF_DEEP_CHECK_SKIPPED"},
+                         "other.pdf": {"FILE_TOO_LARGE", "MAGIC_MISMATCH", "PDF_DEEP_CHECK_SKIPPED"}}
+        assert sorted(r.file_name for r in T.checks(spark, out).collect()) == ["empty.txt", "good.txt", "huge.png", "large.pdf", "other.pdf", "scan[1].png", "wide.png"]
     total = T.read_table(spark, out, "batches").groupBy().sum("processed", "skipped").first()
-    assert tuple(total) == (5, 1)
+    assert tuple(total) == (7, 1)
 
 
 def test_checking_again_adds_checks(spark, folder):
