@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from docpulse.plans.gate import settle_outcomes
@@ -11,7 +12,7 @@ from docpulse.plans.ingest import ingest_batch
 from docpulse.session import shared_dir
 from docpulse.sources import tables as T
 from docpulse.sources.snapshots import compact, vacuum
-from docpulse.streaming.loops import ingest_stream, quality_stream
+from docpulse.streaming.loops import ingest_stream, quality_stream, run_id
 from workload import standins as S
 from workload.quality import SMALL
 from workload.registry import query
@@ -79,6 +80,30 @@ def compacted_replay(spark, sf_dir):
     return current.drop("field_count").join(counted, ["document_id", "version_id"]).select(*STORED)
 
 
+@query(STORED_SQL.format(run="'ingest-000000000000'"))
+def restarted_ingest(spark, sf_dir):
+    """A batch that dies once its fields are published, before its documents are, and the start after it: each document once."""
+    out, stamps = fresh(spark), S.order_files(spark, sf_dir).select(F.col("path").alias("result_path"), F.col("path").alias("raw_path"))
+    T.publish(stamps.withColumn("check_id", F.xxhash64("raw_path")), out, "links", "l1")
+    broken = stamps.withColumn("check_id", F.raise_error(F.concat(F.lit("lost at "), "raw_path")).cast("bigint"))
+    for links in (broken, T.read_table(spark, out, "links")):
+        def each(batch, number, links=links):
+            ingest_batch(batch, out, run_id("ingest", number), links)
+
+        started = S.order_files_of(table_stream(spark, sf_dir, "orders")).writeStream.foreachBatch(each).option(
+            "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start()
+        try:
+            started.awaitTermination()
+        except StreamingQueryException as lost:
+            if "lost at " not in str(lost):
+                raise
+            if not T.read_table(spark, out, "documents").isEmpty() or T.read_table(spark, out, "fields").isEmpty():
+                raise AssertionError("the batch was to die between its fields and its documents") from lost
+    current = T.documents(spark, out)
+    counted = T.fields(spark, out, current).groupBy("document_id", "version_id").agg(F.count(F.lit(1)).cast("int").alias("field_count"))
+    return current.drop("field_count").join(counted, ["document_id", "version_id"]).select(*STORED)
+
+
 @query(f"""WITH {ORDERS_SQL} SELECT blob_path, v.path AS field_path, CASE v.path WHEN 'Customer.Key' THEN CAST(o_custkey AS VARCHAR) WHEN 'Date' THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR)
     ELSE CAST(o_totalprice AS VARCHAR) END AS value_string,
   CASE WHEN v.path = 'Customer.Key' OR (v.path = 'Total' AND k % 5 = 0) THEN NULL ELSE c END AS confidence FROM od, (VALUES ('Total'), ('Date'), ('Customer.Key')) v(path)""")
