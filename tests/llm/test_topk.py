@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from docpulse.llm.topk import top_k, whole
+from docpulse.llm.topk import sent_share, top_k, whole
 
 
 def vectors(spark, rows):
@@ -69,3 +69,24 @@ def test_repeated_ids(spark, pivots):
             scores.setdefault(q, []).extend((-int(sum(s * t for s, t in zip(a, b))), i) for i, b in rows if i != q and len(a) == len(b))
     want = sorted((q, n + 1, i, -s) for q, found_ in scores.items() for n, (s, i) in enumerate(sorted(found_)[:5]))
     assert found(top_k(vectors(spark, rows), lambda c: c % 10 == 0, 5, pivots=pivots)) == want
+
+
+def clustered(seed, centres, dim, rows):
+    r = random.Random(seed)
+    at = [[r.gauss(0, 1000) for _ in range(dim)] for _ in range(centres)]
+    return [(i, [float(round(c + r.gauss(0, 20))) for c in at[i % centres]]) for i in range(rows)]
+
+
+def test_cells_are_ruled_out(spark):
+    rows = clustered(5, 40, 16, 2000)
+    df = vectors(spark, rows)
+    assert sent_share(df, lambda c: c % 10 == 0) < 0.5  # fewer pivots than clusters
+    assert sent_share(df, lambda c: c % 10 == 0, pivots=200) < 0.2
+    assert found(top_k(df, lambda c: c % 10 == 0, 5)) == plain(rows, lambda i: i % 10 == 0, 5)
+
+
+def test_one_crowded_cell(spark, monkeypatch):
+    from docpulse.llm import topk
+    monkeypatch.setattr(topk, "PIECE", 64)  # cells of many pieces, blocks of few queries
+    rows = clustered(6, 3, 4, 600) + [(1000 + i, [40000.0, 1.0, 1.0, float(i)]) for i in range(100)]  # two widths
+    assert found(top_k(vectors(spark, rows), lambda c: c % 10 == 0, 5, pivots=2, group=7)) == plain(rows, lambda i: i % 10 == 0, 5)
