@@ -1,9 +1,10 @@
 """Chat collapse, licence scan and URL filter: edge cases and plans; their main cases are compared with SQL."""
 
 import datetime as dt
+import re
 
 from docpulse.llm.chat import maximal_turns
-from docpulse.llm.licences import scan
+from docpulse.llm.licences import TEMPLATES, TEXTS, scan
 from docpulse.llm.url_filter import filter_urls, host_of, intervals
 from pyspark.sql import functions as F
 
@@ -70,6 +71,38 @@ def test_licence_ties_and_bounds(docs):
     assert got == {"one": 1.0, "two": 1.0}
 
 
+def test_licence_windows(docs):
+    prose = "the quick brown fox of the software jumps over the lazy dog and so on " * 30
+    text = " ".join(TEXTS["MIT"].split())
+    wrapped = "\n * ".join(text[i:i + 60] for i in range(0, len(text), 60))  # lines break within words, too: 16 pairs of 160
+    by_words = text.replace(" the ", "\n# the\n")
+    rows = [(1, prose + text + prose), (2, f"Copyright 2020 Somebody\n{by_words}\n{prose}"), (3, prose + "Released under\nthe MIT License. " + prose),
+            (4, prose + " ".join(text.split()[:80]) + prose), (5, prose), (6, wrapped), (None, text.replace("Software", "Work")), (7, "released under the mit"), (7, None)]
+    got = {(r.doc_id, r.licence): r for r in scan(docs(rows, licence="clash", n_windows="clash")).collect()}
+    assert [got[i, "MIT"].dice for i in (1, 2, 3)] == [1.0] * 3 and got[1, "MIT"].n_units == 0 and got[1, "MIT"].n_windows > 1
+    assert (4, "MIT") not in got and not any(i == 5 for i, _ in got)
+    assert got[7, "MIT"].n_units == 1 and got[7, "MIT"].dice == 2 * 3 / 7
+    for (i, licence), r in got.items():
+        assert (r.dice, r.n_windows) == windows_by_hand([t for j, t in rows if j == i], licence), (i, licence)
+
+
+def windows_by_hand(texts, licence):
+    """Best Dice and number of windows, from windows at every word."""
+    best, n = 0.0, 0
+    for text in texts:
+        w = re.findall(r"[^\W_]+", (text or "").lower())
+        pairs = list(zip(w, w[1:]))
+        for table in (TEMPLATES, TEXTS):
+            k = re.findall(r"[^\W_]+", table.get(licence, "").lower())
+            known = set(zip(k, k[1:]))
+            for i, pair in enumerate(pairs):
+                if pair in known:
+                    window = set(pairs[i:i + len(k) - 1])
+                    dice = 2 * len(window & known) / (len(window) + len(known))
+                    best, n = max(best, dice), n + (dice >= 0.8)
+    return best, n
+
+
 def test_intervals(spark):
     day = lambda n: dt.date(2024, 1, n)
     rows = [("A.com", "add", day(3)), ("a.com", "remove", day(9)), ("a.com", "add", day(9)), ("a.com", "drop", day(20)),
