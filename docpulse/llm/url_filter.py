@@ -47,28 +47,28 @@ def filter_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_id"
     """
     rows = without(captures, OWN).withColumn("host", host_of(F.col(url_col)))
     columns = rows.columns
-    rows = rows.withColumns({"__row": F.monotonically_increasing_id(), "__labels": F.split("host", r"\.")})
+    # A verdict depends on host and time alone, so that other columns are neither copied for parents nor grouped.
+    asked = rows.filter(F.col("host").isNotNull() & F.col(f"`{fetched_col}`").isNotNull()).select(
+        F.col("host").alias("__host"), F.col(f"`{fetched_col}`").alias("__fetched")).distinct()
+    asked = asked.withColumn("__labels", F.split("__host", r"\."))
     parents = F.transform(F.sequence(F.lit(1), F.size("__labels")), lambda i: F.concat_ws(
         ".", F.slice("__labels", i, F.size("__labels"))))
     period = lambda day: F.floor(F.unix_date(F.to_date(day)) / period_days)
-    rows = rows.withColumn("__period", period(F.col(fetched_col)))
-    asked = rows.withColumn("__key", F.explode_outer(F.when(F.col("host").isNotNull(), parents)))
+    asked = asked.select("__host", "__fetched", period(F.col("__fetched")).alias("__period"), F.explode(parents).alias("__key"))
     first, last = captures.agg(F.min(F.to_date(fetched_col)), F.max(F.to_date(fetched_col))).first()
     first, last = F.lit(first).cast("date"), F.lit(last).cast("date")
     valid = (intervals(entries)
              .filter((F.to_date("since") <= last) & (F.coalesce("until", last) >= first))
              .withColumn("__period", F.explode(F.sequence(
                  period(F.greatest("since", first)), period(F.least(F.coalesce("until", last), last)))))
-             .select(F.col("listed_host").alias("__key"), "__period", "since", "until", F.lit(True).alias("__hit")))
-    met = asked.alias("a").join(valid.alias("v"), (
-        (F.col("a.__key") == F.col("v.__key")) & (F.col("a.__period") == F.col("v.__period"))
-        & (F.col(f"a.`{fetched_col}`") >= F.col("since"))
-        & (F.col("until").isNull() | (F.col(f"a.`{fetched_col}`") < F.col("until")))), "left")
-    best = F.max(F.when(F.col("__hit"), F.struct(F.length("a.__key").alias("n"), F.col("a.__key").alias("k"), "since")))
-    return (met.groupBy("__row", *[F.col(f"a.`{c}`") for c in columns])
-            .agg(best.alias("__best"), F.count("__hit").alias("n_listed"))
-            .select(*[F.col(f"`{c}`") for c in columns], F.col("__best").isNotNull().alias("blocked"),
-                    F.col("__best.k").alias("listed_host"), F.col("__best.since").alias("listed_since"), "n_listed"))
+             .select(F.col("listed_host").alias("__key"), "__period", "since", "until"))
+    met = asked.join(valid, ["__key", "__period"]).filter(
+        (F.col("__fetched") >= F.col("since")) & (F.col("until").isNull() | (F.col("__fetched") < F.col("until"))))
+    verdicts = met.groupBy("__host", "__fetched").agg(
+        F.max(F.struct(F.length("__key").alias("n"), F.col("__key").alias("k"), "since")).alias("__best"), F.count("*").alias("__n"))
+    judged = rows.join(verdicts, (F.col("host") == F.col("__host")) & (F.col(f"`{fetched_col}`") == F.col("__fetched")), "left")
+    return judged.select(*[F.col(f"`{c}`") for c in columns], F.col("__best").isNotNull().alias("blocked"), F.col("__best.k").alias("listed_host"),
+                         F.col("__best.since").alias("listed_since"), F.coalesce("__n", F.lit(0)).alias("n_listed"))
 
 
 # The pages carry no fetch date and there is no list: both are derived, in either engine, from ids and host names.
