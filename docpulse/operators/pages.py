@@ -28,9 +28,10 @@ _SCAN = ["page", "stdev", "mean", "blur_var", "skew", "skew_conf", "dpi"]
 def sampled_pages(metrics: DataFrame, counts: DataFrame, limits: Limits = LIMITS) -> DataFrame:
     """Metrics of the sampled pages; the pair (path, page) is unique, so no key is hot.
 
-    A page whose text could not be read has 0 characters.
+    A page whose text could not be read has 0 characters. Metrics that come out of an explode look as small as
+    what they were made of, so the planner would send all of them through the driver: the join is a merge join.
     """
-    return page_sample(counts, limits).join(metrics, ["path", "page"], "left").withColumn(
+    return page_sample(counts, limits).join(metrics.hint("merge"), ["path", "page"], "left").withColumn(
         "chars", F.coalesce("chars", F.lit(0))
     )
 

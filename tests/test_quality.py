@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from docpulse.constants import LIMITS
 from docpulse.operators.decode import decode_text
-from docpulse.operators.pages import estimate_skew, page_dpi, page_sample, scan_page_sample
+from docpulse.operators.pages import estimate_skew, page_dpi, page_sample, sampled_pages, scan_page_sample
 from docpulse.operators.pixels import image_features
 from docpulse.operators.rules import judge, with_kind
 from docpulse.plans.quality import IMAGE, METRICS, PAGES, check_files
@@ -244,3 +244,12 @@ def test_pixels_by_bands_equal_those_of_the_whole(spark, folder):
         "path", "struct(CAST(height AS INT) AS height, CAST(width AS INT) AS width, 1 AS nChannels, 0 AS mode, data) AS image")
     row = image_features(images).first()
     assert (row.mean, row.stdev, row.blur) == pytest.approx((noise.mean(), noise.std(), edges.var()))
+
+
+def test_page_metrics_are_not_sent_through_the_driver(spark):
+    """Metrics out of an explode are estimated as small as their source; the join must not broadcast them."""
+    counts = spark.range(50).select(F.col("id").cast("string").alias("path"), F.lit(120).alias("page_count"))
+    metrics = counts.select("path", F.explode(F.sequence(F.lit(0), F.lit(118))).alias("page")).withColumn("chars", F.lit(7))
+    joined = sampled_pages(metrics, counts)
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 50 * 100 and joined.filter("chars = 0").count() == 50

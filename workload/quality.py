@@ -202,7 +202,7 @@ scn AS (SELECT DISTINCT low.* FROM low, range(0, 5) r(i) WHERE i < LEAST(nlow, 5
 
 
 def page_counts(spark, sf_dir):
-    return S.table(spark, sf_dir, "supplier").select(
+    return S.spread(S.table(spark, sf_dir, "supplier").select("s_suppkey"), 20_000).select(
         F.col("s_suppkey").cast("string").alias("path"), F.col("s_suppkey").alias("k"), (F.col("s_suppkey") * 13 % 350).cast("int").alias("page_count"))
 
 

@@ -13,10 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where a small table comes as one split; a large one stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(2 * cores)
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Rows over all cores where a small table comes as one split; a large one stays as it is.
+
+    With ``rows`` a partition has about so many at most, for rows that each become many; the count is read off the footers.
+    """
+    parts = 2 * df.sparkSession.sparkContext.defaultParallelism
+    if rows is not None:
+        parts = max(parts, -(-df.count() // rows))
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
 
 
 # --- documents, from orders -----------------------------------------------------------------
