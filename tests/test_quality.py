@@ -18,6 +18,7 @@ from docpulse.operators.rules import judge, with_kind
 from docpulse.plans.quality import IMAGE, METRICS, PAGES, check_files
 from docpulse.schemas import FILE_METRICS, PAGE_METRICS
 from docpulse.sources.files import read_images
+from workload.standins import spread
 
 OK = dict(found=True, is_file=True, length=10)
 PDF, PNG = b"%PDF-1.7", b"\x89PNG\r\n\x1a\n..."
@@ -249,7 +250,16 @@ def test_pixels_by_bands_equal_those_of_the_whole(spark, folder):
 def test_page_metrics_are_not_sent_through_the_driver(spark):
     """Metrics out of an explode are estimated as small as their source; the join must not broadcast them."""
     counts = spark.range(50).select(F.col("id").cast("string").alias("path"), F.lit(120).alias("page_count"))
-    metrics = counts.select("path", F.explode(F.sequence(F.lit(0), F.lit(118))).alias("page")).withColumn("chars", F.lit(7))
+    metrics = counts.select("path", F.explode(F.sequence(F.lit(0), F.lit(117))).alias("page")).withColumn("chars", F.lit(7))
     joined = sampled_pages(metrics, counts)
     assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.count() == 50 * 100 and joined.filter("chars = 0").count() == 50
+
+
+def test_rows_that_become_many_are_spread(spark):
+    """Partitions grow with the rows, whatever the bytes say: each page of a part is 252 rows in its task."""
+    few = spread(spark.range(1000).repartition(1), 400)
+    many = spread(spark.range(100_000).repartition(1), 1000)
+    cores = spark.sparkContext.defaultParallelism
+    assert few.rdd.getNumPartitions() == max(2 * cores, 3) and many.rdd.getNumPartitions() == 100
+    assert many.distinct().count() == 100_000

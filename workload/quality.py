@@ -293,7 +293,7 @@ SELECT p_partkey, CAST(angle AS INTEGER) AS skew, var / GREATEST(zero, 1.0) AS s
 QUALIFY ROW_NUMBER() OVER (PARTITION BY p_partkey ORDER BY var DESC, angle) = 1""")
 def skew_argmax(spark, sf_dir):
     a, w, k = F.col("a"), F.col("row"), F.col("p_partkey")
-    profiles = S.table(spark, sf_dir, "part").select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("a")).select(
+    profiles = S.spread(S.table(spark, sf_dir, "part").select("p_partkey"), 20_000).select("p_partkey", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("a")).select(
         "p_partkey", "a", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("row")).select(
         k.cast("string").alias("path"), F.lit(0).alias("page"), (a - 10).alias("angle"), "row",
         ((k * (a + 1) * 7 + w * w * 13 * (a % 5 + 1)) % 1000).alias("ink"))
