@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from docpulse.operators.depth import by_depth, nests_within
+from docpulse.operators.depth import by_depth, levels_needed, nests_within
 from docpulse.plans.ingest import flat_rows, stage
 from workload import QUERIES
 
@@ -68,3 +68,19 @@ def test_registered_query_is_one_narrow_stage(spark):
     plan = QUERIES["flatten_fields"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Join", "Union", "docpulse-")) and plan.count("Scan parquet") == 1
     assert plan.count("Exchange") == plan.count("RoundRobinPartitioning")  # of the stand-in, which spreads its few rows
+
+
+def test_levels_go_by_what_the_files_need(spark, folder):
+    """A chain has as many levels as the deepest file it takes needs, not all; a deeper file among them is still opened whole."""
+    of = lambda *deep: spark.createDataFrame([(f"u/a/{i}.json", json.dumps({"fieldLabels": {"f": chain(i)}})) for i in deep], "path string, value string")
+    assert levels_needed(of(0, 0), 6, 2) == (2, False)
+    assert levels_needed(of(0, 4), 6, 2) == (6, False)
+    assert levels_needed(of(0, 9), 6, 2) == (2, True)
+    assert levels_needed(of(0).limit(0), 6, 2) == (2, False)
+    opened = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("variant_explode")
+    assert opened(flat_rows(of(0, 0), f"{folder}/a", "r")) < opened(flat_rows(of(0, 4), f"{folder}/b", "r"))
+
+
+def test_a_deeper_file_among_shallow_ones_is_opened_whole(spark, folder):
+    files = spark.createDataFrame([(f"u/a/{i}.json", json.dumps({"fieldLabels": {"f": chain(i)}})) for i in (0, 9)], "path string, value string")
+    assert flat_rows(files, f"{folder}/s", "r").filter("kind = 'leaf' AND value_string = 'end'").count() == 2

@@ -23,7 +23,7 @@ def error_sidecars(spark, sf_dir):
     """A result file for every customer, one in ten broken: the texts next to the failed ones, read back as files."""
     out, key = fresh(spark), F.col("c_custkey")
     value = F.when(key % 10 == 1, "{").otherwise('{"fieldLabels":{"k":{"valueString":"v"}}}')
-    files = S.table(spark, sf_dir, "customer").select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), value.alias("value"))
+    files = S.spread(S.table(spark, sf_dir, "customer")).select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), value.alias("value"))
     for _ in range(2):  # a run that is repeated leaves one file each
         ingest_batch(files, f"{out}/t", "r1", sidecars=f"{out}/routed")
     return read_sidecars(spark, f"{out}/routed")
@@ -33,7 +33,7 @@ def raw_customers(spark, sf_dir):
     """A raw file for every customer: one in three of an unknown kind, one in three with an unfit head."""
     key = F.col("c_custkey")
     name = F.concat(F.lit("u/a/"), key.cast("string"), F.when(key % 3 == 0, ".xyz").when(key % 3 == 1, ".pdf").otherwise(".txt"))
-    return S.table(spark, sf_dir, "customer").select(
+    return S.spread(S.table(spark, sf_dir, "customer")).select(
         name.alias("path"), F.lit("2024-01-01").cast("timestamp").alias("modificationTime"), F.lit(5).cast("bigint").alias("length"),
         F.lit(b"hello").alias("content"))
 

@@ -51,7 +51,7 @@ def odd_files(spark, sf_dir):
     key = F.col("o_orderkey")
     members = [F.concat(F.lit(f'"{name}":'), pick(cases, key)) for name, cases in NODES.items()]
     body = F.concat(F.lit('{"fieldLabels":{"bad":7,'), F.concat_ws(",", *members), F.lit("}}"))
-    return S.table(spark, sf_dir, "orders").select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), body.alias("value"))
+    return S.spread(S.table(spark, sf_dir, "orders")).select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), body.alias("value"))
 
 
 def leaves_of(files):
@@ -111,7 +111,7 @@ def deep_trees(spark, sf_dir):
     body = F.concat(
         F.lit('{"fieldLabels":{"r":'), F.repeat(F.lit('{"type":"object","valueObject":{"k":{"type":"array","valueArray":['), depth), end,
         F.repeat(F.lit("]}}}"), depth), F.lit("}}"))
-    files = S.table(spark, sf_dir, "orders").select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), body.alias("value"))
+    files = S.spread(S.table(spark, sf_dir, "orders")).select(F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), body.alias("value"))
     return leaves_of(files).select("blob_path", "field_path", "parent_path", "array_index", "value_string")
 
 
@@ -126,7 +126,7 @@ def error_log(spark, sf_dir):
     """The errors table and the manifest after a batch with bad files."""
     out, key = fresh(spark), F.col("o_orderkey")
     value = reduce(lambda c, i: c.when(key % 5 == i, F.expr(BAD[i])), range(1, 5), F.when(key % 5 == 0, F.expr(BAD[0])))
-    files = S.table(spark, sf_dir, "orders").select(
+    files = S.spread(S.table(spark, sf_dir, "orders")).select(
         F.concat(F.lit("u/a/"), key.cast("string"), F.lit(".json")).alias("path"), value.cast("string").alias("value"))
     ingest_batch(files, out, "r1")
     routed = T.read_table(spark, out, "manifest").select(F.col("src_path").alias("blob_path"), "dest_path")
@@ -139,7 +139,7 @@ def repeated_checks(spark, sf_dir):
     """Every file checked in one mode, then in the other, the second run twice: two checks of each."""
     out, key = fresh(spark), F.col("o_orderkey")
     head = F.when(key % 2 == 0, F.lit(b"PK\x03\x04")).otherwise(F.lit(b"\x89PNG\r\n\x1a\n"))
-    files = S.table(spark, sf_dir, "orders").select(
+    files = S.spread(S.table(spark, sf_dir, "orders")).select(
         F.concat(F.lit("u/a/"), key.cast("string"), F.when(key % 2 == 0, ".docx").otherwise(".png")).alias("path"),
         F.lit("2024-01-01").cast("timestamp").alias("modificationTime"), F.lit(8).cast("bigint").alias("length"), head.alias("content"))
     for run, mode in (("r1", "standard"), ("r2", "pro"), ("r2", "pro")):
