@@ -3,6 +3,7 @@
 import json
 import os
 import random
+import re
 
 from pyspark.sql import functions as F
 
@@ -84,3 +85,21 @@ def test_levels_go_by_what_the_files_need(spark, folder):
 def test_a_deeper_file_among_shallow_ones_is_opened_whole(spark, folder):
     files = spark.createDataFrame([(f"u/a/{i}.json", json.dumps({"fieldLabels": {"f": chain(i)}})) for i in (0, 9)], "path string, value string")
     assert flat_rows(files, f"{folder}/s", "r").filter("kind = 'leaf' AND value_string = 'end'").count() == 2
+
+
+def test_an_analyze_result_needs_no_more_levels_than_its_field_maps(spark):
+    """The brackets around the field maps of an analyze result are no levels of theirs, unless a key may be ``fieldLabels``."""
+    analyze = lambda i, **more: json.dumps({"result": {"contents": [{"fields": {"f": chain(i)}}]}, **more})
+    of = lambda *texts: spark.createDataFrame([(f"u/a/{i}.json", t) for i, t in enumerate(texts)], "path string, value string")
+    assert levels_needed(of(analyze(1)), 6, 2) == (3, False)
+    assert levels_needed(of(analyze(1, fieldLabels={})), 6, 2)[0] > 3
+    assert levels_needed(of(analyze(1, note="é")), 6, 2)[0] > 3  # written as an escape, as a key may be
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    """HotSpot interprets methods of over 8,000 bytes unless told otherwise."""
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+    files = spark.createDataFrame([("u/a/1.json", json.dumps({"fieldLabels": {"f": chain(0)}}))], "path string, value string")
+    said = flat_rows(files, "unused", "r")._jdf.queryExecution().explainString(mode)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said)]
+    assert sizes and max(sizes) < 8000
