@@ -88,11 +88,17 @@ def start_ingest(
     return _start_listing(spark, src, checkpoint, name, max_files, max_bytes, RESULT_NAME, drain, handle)
 
 
+def spread(batch: DataFrame) -> DataFrame:
+    """The rows of a batch over all cores: a source may hand them out as one split."""
+    parts = 2 * batch.sparkSession.sparkContext.defaultParallelism
+    return batch if batch.rdd.getNumPartitions() >= parts else batch.repartition(parts)
+
+
 def ingest_stream(stream: DataFrame, out: str, checkpoint: str, name: str = "ingest") -> StreamingQuery:
     """Ingest a stream of result files (``path, value``), whatever its source."""
 
     def handle(batch: DataFrame, number: int) -> None:
-        ingest_batch(batch, out, run_id(name, number), links_of(batch.sparkSession, out))
+        ingest_batch(spread(batch), out, run_id(name, number), links_of(batch.sparkSession, out))
 
     return _start(stream, handle, checkpoint, name)
 

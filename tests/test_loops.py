@@ -214,3 +214,14 @@ def test_settlement_loop(spark, folder):
         "good.txt": "Succeeded", "bad.txt": "Failed", "never.txt": "Timeout", "odd.xyz": "Skipped"}
     assert T.read_open(spark, out).count() == 0
     assert sorted(r.path for r in S.read_sidecars(spark, f"{folder}/routed").collect()) == [f"rejected/u/a/{n}.report.json" for n in ("bad.txt", "never.txt", "odd.xyz")]
+
+
+def test_a_batch_of_one_split_is_spread(spark):
+    """A source may hand a batch out as one split; its files are parsed on all cores, and none is lost."""
+    from docpulse.streaming.loops import spread
+
+    batch = spark.range(1000).coalesce(1)
+    rows = spread(batch)
+    assert rows.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
+    assert sorted(r.id for r in rows.collect()) == list(range(1000))
+    assert spread(rows) is rows
