@@ -70,18 +70,18 @@ def float_text(x: Column) -> Column:
 
 def json_text(col: Column) -> Column:
     """A text as a JSON string literal."""
-    wrapped = F.to_json(F.struct(col.alias("v")))
-    return F.when(col.isNull(), "null").otherwise(wrapped.substr(F.lit(6), F.length(wrapped) - 6))
-
-
-def json_object(pairs: list[tuple[str, Column]]) -> Column:
-    """JSON object from (key, JSON text of the value) pairs; NULL values leave their key out."""
-    parts = [
-        F.when(value.isNotNull(), F.concat(F.lit(f'"{key}": '), value.cast("string")))
-        for key, value in pairs
-    ]
-    body = F.concat_ws(", ", *parts)
-    return F.when(body != "", F.concat(F.lit("{"), body, F.lit("}")))
+    return F.btrim(F.to_json(F.array(col)), F.lit("[]"))
+
+
+def json_object(pairs: list[tuple[str, Column]], full: bool = False) -> Column:
+    """JSON object from (key, JSON text of the value) pairs; NULL values leave their key out.
+
+    With ``full`` some value is never NULL, and the test for an empty object, which holds each value once more, is left out:
+    nested objects would otherwise grow by a power of two.
+    """
+    parts = [F.concat(F.lit(f'"{key}": '), value.cast("string")) for key, value in pairs]  # NULL for a NULL value
+    body = F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    return body if full else F.when(F.coalesce(*parts).isNotNull(), body)
 
 
 def json_list(items: Column) -> Column:

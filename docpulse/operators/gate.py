@@ -169,7 +169,7 @@ def report_json(issues: Column) -> Column:
         ("code", json_text(i["code"])), ("severity", json_text(i["severity"])),
         ("message", json_text(i["message"])),
         ("details", F.coalesce(i["details_json"], F.lit("{}"))),
-    ]))
+    ], full=True))
     flag = lambda c: F.col(c).cast("string")
     report = json_object([
         ("file_path", json_text(F.col("file_name"))), ("file_size_bytes", flag("file_size_bytes")),
@@ -178,14 +178,14 @@ def report_json(issues: Column) -> Column:
         ("metadata", F.coalesce("metadata_json", F.lit("{}"))), ("score", flag("score")),
         ("band", json_text(F.col("band"))), ("error_count", flag("error_count")),
         ("warning_count", flag("warning_count")), ("info_count", flag("info_count")),
-    ])
+    ], full=True)
     called = F.col("reason") != "QualityCheckFailed"
     return json_object([
         ("reason", json_text(F.col("reason"))),
         ("cu_status", json_text(F.when(called, F.col("cu_status")))),
         ("cu_error_message", json_text(F.when(called, F.col("given_message")))),
         ("report", report),
-    ])
+    ], full=True)
 
 
 def raw_manifest(routed: DataFrame) -> DataFrame:
