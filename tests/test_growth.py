@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docpulse.operators.gate import report_json
 from docpulse.operators.parse import dispatch_shape, iso_datetime, parse_json
+from workload import loops
 
 
 def plan(df):
@@ -42,3 +43,12 @@ def test_usual_times_are_those_of_the_patterns(spark, text):
     spaced = F.lit(" " + text)  # a blank before it takes the way through all patterns
     row = spark.range(1).select(iso_datetime(F.lit(text)).alias("a"), iso_datetime(spaced).alias("b")).first()
     assert row.a == row.b
+
+
+def test_replayed_orders_are_spread(spark, tmp_path, monkeypatch):
+    spark.range(100).selectExpr("id AS o_orderkey").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = []
+    monkeypatch.setattr(loops, "ingest_batch", lambda files, *a, **k: seen.append(files.rdd.getNumPartitions()))
+    monkeypatch.setattr(loops.P, "refresh", lambda *a: None)
+    loops.replayed_shares(spark, str(tmp_path))
+    assert len(seen) == 3 and min(seen) >= spark.sparkContext.defaultParallelism

@@ -182,7 +182,7 @@ REPLAYED_SQL = """WITH d AS (SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'U' ELSE '
 def replayed_shares(spark, sf_dir):
     """Two runs of the orders, the second replayed with less in it; shares refreshed after each."""
     out, key = fresh(spark), F.col("o_orderkey")
-    orders = S.table(spark, sf_dir, "orders")
+    orders = S.spread(S.table(spark, sf_dir, "orders"))
     for run, each, user, day, tenths in (("run-a", 1, "u", 1, 1 + key % 9), ("run-b", 2, "U", 2, 1 + key % 9), ("run-b", 4, "U", 2, 10 - key % 9)):
         value = F.concat(F.lit('{"fieldLabels":{"k":{"type":"string","valueString":"v","confidence":'), (tenths / F.lit(10.0)).cast("string"), F.lit("}}}"))
         path = F.concat(F.lit(f"{user}/a"), (key % 7).cast("string"), F.lit("/"), key.cast("string"), F.lit(".json"))
