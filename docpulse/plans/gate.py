@@ -27,10 +27,12 @@ def check_batch(
     content: DataFrame, out: str, run_id: str, mode: str = "standard", limits: Limits = LIMITS,
     manifest: DataFrame | None = None, file_metrics: DataFrame | None = None,
     page_metrics: DataFrame | None = None, images: DataFrame | None = None, deferred: int = 0, heads: DataFrame | None = None,
+    runs: DataFrame | None = None,
 ) -> None:
     """Judge raw files (``path, modificationTime, length, content``) and store checks and issues.
 
-    ``heads`` has the first bytes (``path, head``) of files of the manifest whose content is not read.
+    ``heads`` has the first bytes (``path, head``) of files of the manifest whose content is not read. With ``runs`` (``path, run_id,
+    deferred``; a path once) the files are those of several runs and stored as such; ``run_id`` is the first of them.
     """
     spark = configure(content.sparkSession)
     features = content_features(content)
@@ -40,19 +42,29 @@ def check_batch(
     checked = check_files(rows, file_metrics, page_metrics, images, mode, limits, run_id)
     # Judged once, then written to two tables.
     folder = f"{staging_dir(spark, out, run_id)}/checked"
+    run, own = (run_id, []) if runs is None else (None, ["run_id"])
+    if runs is not None:
+        checked = checked.join(runs.select("path", "run_id"), "path")
     checked.drop("metrics", "pages", "image", "head").write.mode("overwrite").parquet(folder)
     checked = spark.read.parquet(folder)
     now = F.date_trunc("millisecond", F.current_timestamp())
-    publish(issue_rows(checked), out, "issues", run_id)
-    publish(check_rows(checked, now), out, "checks", run_id)
-    publish_open(check_rows(checked, now, stored_issues().alias("issues")), out, run_id)
+    publish(issue_rows(checked, *own), out, "issues", run)
+    publish(check_rows(checked, now, *own), out, "checks", run)
+    publish_open(check_rows(checked, now, stored_issues().alias("issues"), *own), out, run)
     paths = (content if manifest is None else manifest).select("path")
     misplaced = paths.join(parse_raw_paths(paths).select("path"), "path", "left_anti")
-    publish(batch_summary(checked.select(F.lit("processed").alias("outcome")).unionByName(
-        misplaced.select(F.lit("skipped").alias("outcome"))), deferred), out, "batches", run_id)
+    outcomes = checked.select("path", F.lit("processed").alias("outcome")).unionByName(misplaced.select("path", F.lit("skipped").alias("outcome")))
+    publish(summaries(outcomes, deferred, runs), out, "batches", run)
     clear_staging(spark, out, run_id)
 
 
+def summaries(outcomes: DataFrame, deferred: int, runs: DataFrame | None) -> DataFrame:
+    """The row of ``batches`` of a run's outcomes (``path, outcome``), or one for each of several ``runs``."""
+    if runs is None:
+        return batch_summary(outcomes, deferred)
+    return batch_summary(outcomes.join(runs, "path"), F.max("deferred"), "run_id")
+
+
 def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: bool = False,
                     sidecars: str | None = None) -> DataFrame:
     """Route checked files by their outcomes and store patches, links, errors and the manifest.
@@ -89,8 +101,9 @@ def settle_outcomes(spark, out: str, outcomes: DataFrame, run_id: str, strict: b
 def check_listed(
     spark, src: str, listed: DataFrame, out: str, run_id: str, mode: str = "standard",
     limits: Limits = LIMITS, file_metrics: DataFrame | None = None, page_metrics: DataFrame | None = None, deferred: int = 0,
+    runs: DataFrame | None = None,
 ) -> None:
-    """Judge listed files below ``src`` (``path, modificationTime, length``): one check for each.
+    """Judge listed files below ``src`` (``path, modificationTime, length``): one check for each; ``runs`` as in :func:`check_batch`.
 
     Bytes are read of files within the largest limit; larger ones are judged by their size and first bytes. The
     paths of the batch are gathered here: the trigger bounds how many they are.
@@ -99,9 +112,12 @@ def check_listed(
     longest = largest(limits)
     paths = [r.path for r in listed.filter(F.col("length").between(1, longest)).select("path").collect()]
     content = read_contents(spark, src, paths, longest)
-    check_batch(content, out, run_id, mode, limits, manifest, file_metrics, page_metrics,
-                batch_images(spark, src, content), deferred,
-                read_heads(spark, src, listed.filter(F.col("length") > longest), C.HEAD_BYTES))
+    name = F.substring_index(F.col("path"), "/", -1)
+    pictures = [r.path for r in listed.filter(F.col("length").between(1, longest)).filter(
+        detect_kind(checked_extension(name)) == "image").select("path").collect()]
+    images = batch_images(spark, src, read_contents(spark, src, pictures, longest)) if pictures else None
+    check_batch(content, out, run_id, mode, limits, manifest, file_metrics, page_metrics, images, deferred,
+                read_heads(spark, src, listed.filter(F.col("length") > longest), C.HEAD_BYTES), runs)
 
 
 def batch_images(spark, src: str, content: DataFrame) -> DataFrame | None:

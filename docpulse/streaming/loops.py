@@ -6,6 +6,8 @@ id and files and so the same ``run_id``, whose partitions it replaces.
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +22,8 @@ from docpulse.sources.tables import TABLES
 from docpulse.streaming.timeouts import CAP_SECONDS, answers, settle_stream, submissions
 
 RESULT_NAME = r".*\.[jJ][sS][oO][nN]"
+TOGETHER = 10_000  # files of the batches that one plan goes over
+LISTED = "path STRING, modificationTime TIMESTAMP, length BIGINT, deferred BIGINT, batch BIGINT, run_id STRING"
 
 
 def _start(stream: DataFrame, handle, checkpoint: str, name: str) -> StreamingQuery:
@@ -50,18 +54,37 @@ class Drained:
 
 def _start_listing(spark: SparkSession, src: str, checkpoint: str, name: str, max_files: int, max_bytes: int | None,
                    names: str, drain: bool, handle) -> StreamingQuery | Drained:
-    """Start ``handle(listed rows, batch number)`` over new files, in batches until nothing is new, or for one batch."""
-    stream = stream_files(spark, src, f"{checkpoint}/files", max_files, max_bytes, names)
+    """Start ``handle(listed files, first run, files deferred, runs or None)`` over new files, in batches until nothing is new, or for one.
+
+    A plan costs seconds whatever it goes over. So batches that are there at once go through one plan, up to ``TOGETHER`` files; each
+    remains a run of its own, with the files the source has dealt to it.
+    """
+    stream = stream_files(spark, src, f"{checkpoint}/files", max_files, max_bytes, names, TOGETHER if drain else 1)
 
-    def each(batch: DataFrame, number: int) -> None:
-        rows = batch.collect()  # the listing of one batch: the source bounds it
-        if rows:
-            handle(rows, number)
+    def each(batch: DataFrame, _: int) -> None:
+        for rows in together(batch.collect()):  # the listing of these batches: the source bounds it
+            listed = spark.createDataFrame([(*r, run_id(name, r.batch - 1)) for r in rows], LISTED)
+            several = listed.select("path", "run_id", "deferred") if rows[0].batch != rows[-1].batch else None
+            handle(listed, run_id(name, rows[0].batch - 1), rows[0].deferred, several)
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).queryName(name)
     return Drained(writer.trigger(processingTime="0 seconds").start()) if drain else writer.trigger(availableNow=True).start()
 
 
+def together(rows: list[Row]) -> list[list[Row]]:
+    """Listed files of one or several batches, in batch order, as few lists of whole batches that name no path twice."""
+    lists: list[list[Row]] = []
+    paths: set[str] = set()
+    for _, own in groupby(sorted(rows, key=lambda r: r.batch), key=lambda r: r.batch):
+        own = list(own)
+        if not lists or not paths.isdisjoint(r.path for r in own):  # a path that has changed between two listings
+            lists.append([])
+            paths = set()
+        lists[-1] += own
+        paths.update(r.path for r in own)
+    return lists
+
+
 def run_id(name: str, batch: int) -> str:
     """Run of a micro-batch; sorts in batch order."""
     return f"{name}-{batch:012d}"
@@ -76,14 +99,12 @@ def start_ingest(
     A batch takes ``max_files`` files and ``max_bytes`` bytes at most; with ``drain`` batches go on until nothing is new,
     without it one batch is run and table ``batches`` tells how many files it deferred to the next start. The stream hands
     out listings; a file is read in its batch, so that one which cannot be read is an error row and not the end of
-    the stream. Error texts of failed files go to files below ``sidecars``, where given.
+    the stream. Batches that are there at once are runs of their own and go through one plan. Error texts of failed files go to files below ``sidecars``, where given.
     """
     configure(spark)
 
-    def handle(rows: list[Row], number: int) -> None:
-        listed = spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT, deferred BIGINT")
-        ingest_batch(read_listed_results(spark, src, listed), out, run_id(name, number), links_of(spark, out),
-                     deferred=rows[0].deferred, sidecars=sidecars)
+    def handle(listed: DataFrame, run: str, deferred: int, runs: DataFrame | None) -> None:
+        ingest_batch(read_listed_results(spark, src, listed), out, run, links_of(spark, out), deferred=deferred, sidecars=sidecars, runs=runs)
 
     return _start_listing(spark, src, checkpoint, name, max_files, max_bytes, RESULT_NAME, drain, handle)
 
@@ -121,9 +142,8 @@ def start_quality(
     """
     configure(spark)
 
-    def handle(rows: list[Row], number: int) -> None:
-        listed = spark.createDataFrame(rows, "path STRING, modificationTime TIMESTAMP, length BIGINT, deferred BIGINT")
-        check_listed(spark, src, listed, out, run_id(name, number), mode, limits, file_metrics, page_metrics, rows[0].deferred)
+    def handle(listed: DataFrame, run: str, deferred: int, runs: DataFrame | None) -> None:
+        check_listed(spark, src, listed, out, run, mode, limits, file_metrics, page_metrics, deferred, runs)
 
     return _start_listing(spark, src, checkpoint, name, max_files, max_bytes, ".*", drain, handle)
 
