@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpulse.llm.common import stored
+from docpulse.llm.common import dropped, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label``, the smallest node of its component, for undirected edges ``a``, ``b``.
 
     Every round joins edges with the least neighbour of each node, a map-side minimum, and writes its edges to the shared
-    folder. Joins are merges, which adaptive execution splits at nodes with very many edges.
+    folder, where they take the place of the last round's. Joins are merges, which adaptive execution splits at nodes with very many edges.
     """
     edge = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     state = _state(edge)
@@ -24,8 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
         to = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(to.hint("merge"), "u")
         small = joined.select("u", F.col("m").alias("v")).union(joined.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        edge = stored(small.filter("u <> v").distinct(), "edges")
-        before, state = state, _state(edge)
+        made = stored(small.filter("u <> v").distinct(), "edges")
+        before, state = state, _state(made)
+        dropped(edge)
+        edge = made
         if state == before:
             break
     stars = edge.select(F.col("u").alias("node"), F.col("v").alias("label"))

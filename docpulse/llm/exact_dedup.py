@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpulse.llm.common import query, stored, table, without
+from docpulse.llm.common import dropped, query, stored, table, without
 
 OWN = ["keep_id", "group_size", "kept", "text_sha256"]
 
@@ -34,21 +34,26 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumns({"__head": F.substring(body, 1, head), "text_sha256": F.sha2(body, 256)})
     shared = stored(rows.groupBy("__head").agg(F.count("*").alias("__n")).filter("__n > 1").select("__head"), "heads")
     alone = [rows.join(shared.hint("merge"), "__head", "left_anti").select(*columns, "text_sha256").transform(_single, id_col)]
-    active = stored(
+    parts = stored(
         rows.withColumns({"__row": F.monotonically_increasing_id(), "__part": F.lit(0).cast("long")})
         .join(shared.hint("merge"), "__head").drop("__head"), "parts")
+    active, read = parts, ""
     ended, done = [], 0
     while not active.isEmpty():
         cut = active.withColumn("__next", F.substring(body, done + 1, step))
-        parts = stored(cut.groupBy("__part", "__next").agg(F.count("*").alias("__n"), F.max("__row").alias("__to"))
-                       .filter("__n > 1").drop("__n"), "splits")  # stored, or the join could not split a large part
+        splits = stored(cut.groupBy("__part", "__next").agg(F.count("*").alias("__n"), F.max("__row").alias("__to"))
+                        .filter("__n > 1").drop("__n"), "splits")  # stored, or the join could not split a large part
+        state = F.when(F.col("__to").isNull(), "alone").when(F.length("__next") < step, "ended").otherwise("active")
         dealt = stored(
-            cut.join(parts.hint("merge"), ["__part", "__next"], "left")
-            .select(*columns, "text_sha256", "__row", "__to", (F.length("__next") < step).alias("__over")), "parts")
-        alone.append(dealt.filter("__to IS NULL").select(*columns, "text_sha256").transform(_single, id_col))
-        ended.append(dealt.filter("__to IS NOT NULL AND __over"))
-        active = (dealt.filter("__to IS NOT NULL AND NOT __over")
-                  .select(*columns, "text_sha256", "__row", F.col("__to").alias("__part")))
+            cut.join(splits.hint("merge"), ["__part", "__next"], "left")
+            .select(*columns, "text_sha256", "__row", "__to", state.alias("__state")), "parts", ["__state"])
+        # each text lies on disk once, and twice only while its part is split: what has been split goes
+        dropped(splits)
+        dropped(parts, read)
+        parts, read = dealt, "__state=active"
+        alone.append(dealt.filter("__state = 'alone'").select(*columns, "text_sha256").transform(_single, id_col))
+        ended.append(dealt.filter("__state = 'ended'").drop("__state"))
+        active = dealt.filter("__state = 'active'").select(*columns, "text_sha256", "__row", F.col("__to").alias("__part"))
         done, step = done + step, step * growth
     single = reduce(DataFrame.unionByName, alone)
     if not ended:

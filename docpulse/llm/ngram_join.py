@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docpulse.llm.common import query, stored, table
+from docpulse.llm.common import dropped, query, stored, table
 from docpulse.llm.components import components
 from docpulse.llm.shingles import digest, mix, pieces, shingle_sets
 
@@ -218,6 +218,7 @@ def candidate_edges(docs: DataFrame, text_col: str, width: int, threshold: Thres
     needs = found.filter(F.col("need") != none).groupBy("node").agg(F.max("need").alias("need"))
     able = met.groupBy("node").agg(F.count("*").alias("n")).join(needs.hint("merge"), "node").filter("n >= need").select("node")
     pairs = stored(met.join(able.hint("merge"), "node").select(F.shiftright("node", 1).alias("a"), "sig"), "pairs")
+    dropped(found)
     heads = stored(pairs.groupBy("sig").agg(F.min("a").alias("b"), F.max("a").alias("last")).filter("b < last").drop("last"), "heads")
     return pairs.join(heads.hint("merge"), "sig").select("a", "b").filter("a <> b").distinct()
 
