@@ -1,12 +1,16 @@
 """Outcomes of submitted checks, and a timeout for those that never get one.
 
-Two kinds of events meet by check: that it was submitted, and what the service said. State holds one check between the
-two. The first outcome within the cap settles it; a timer set at submission settles the others. When its timer is over a check
+Two kinds of events meet by check: that it was submitted, and what the service said. State holds a check between the
+two. The first outcome within the cap settles it; a timer settles the others. When its time is over a check
 leaves the state, so that this is bounded by what was submitted within the cap.
+
+Checks share state by a hash of their id, ``BUCKETS`` parts of one value and one timer each: every call for state or timers goes from
+Python to the JVM and back, so that a batch makes some for each part it touches and not for each check.
 """
 
 from __future__ import annotations
 
+import pickle
 import sys
 from collections.abc import Iterator
 
@@ -20,50 +24,81 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CAP_SECONDS = 540
 EVENT = ["check_id", "event_time", "kind", "status", "operation_location", "error_message", "write_ok", "failed_call"]
 OUTCOME = ("check_id BIGINT, status STRING, operation_location STRING, error_message STRING, write_ok BOOLEAN, failed_call BOOLEAN")
-STATE = "submitted BIGINT, settled BOOLEAN, at BIGINT, status STRING, operation_location STRING, error_message STRING, write_ok BOOLEAN, failed_call BOOLEAN"
+STATE = "checks BINARY, timer BIGINT"
+BUCKETS = 2048  # a fixed number, since state is found by it
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class Settle(StatefulProcessor):
-    """Times are milliseconds: of the events, or with ``clock`` of their arrival."""
+    """Times are milliseconds: of the events, or with ``clock`` of their arrival.
+
+    A part holds, by check, when it was submitted, whether it is settled, and its first outcome: when, and what was said.
+    """
 
     def __init__(self, cap: int, clock: bool):
         self.cap, self.clock = cap, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.check = handle.getValueState("check", STATE)
+        self.part = handle.getValueState("part", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        held = self.check.get() if self.check.exists() else (None, False, None, None, None, None, None, None)
-        submitted, settled, *outcome = held
-        new = submitted is None and outcome[0] is None
+        checks, timer = self.load()
         now = timerValues.getCurrentProcessingTimeInMs() if self.clock else None
-        for r in rows:
-            at = now if self.clock else int(r.event_time.timestamp() * 1000)
-            if r.kind == "submitted":
+        touched = {}
+        for _, _, check, at, kind, *said in rows:
+            at = now if self.clock else at
+            submitted, settled, outcome = checks.get(check) or (None, False, None)
+            if kind == "submitted":
                 if submitted is not None and submitted <= at:
                     continue
-                if submitted is not None or outcome[0] is not None and not new:
-                    self.handle.deleteTimer((submitted if submitted is not None else outcome[0]) + self.cap)
                 submitted = at
-            elif outcome[0] is None or at < outcome[0]:
-                outcome = [at, r.status, r.operation_location, r.error_message, r.write_ok, r.failed_call]
-        if submitted is not None and outcome[0] is not None and not settled:
-            settled = True
-            yield self.settled(key[0], outcome if outcome[0] <= submitted + self.cap else None)
-        # an outcome without a submission waits for it, no longer than a check waits for its outcome
-        self.handle.registerTimer((submitted if submitted is not None else outcome[0]) + self.cap)
-        self.check.update((submitted, settled, *outcome))
+            elif outcome is None or at < outcome[0]:
+                outcome = (at, *said)
+            checks[check] = touched[check] = (submitted, settled, outcome)
+        for check, (submitted, settled, outcome) in touched.items():
+            if submitted is not None and outcome is not None and not settled:
+                checks[check] = (submitted, True, outcome)
+                yield self.settled(check, outcome if outcome[0] <= submitted + self.cap else None)
+        self.keep(checks, timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.check.exists():
-            submitted, settled, *_ = self.check.get()
-            self.check.clear()
-            if submitted is not None and not settled:
-                yield self.settled(key[0], None)
-
-    def settled(self, check: int, outcome: list | None) -> Row:
+        checks, timer = self.load()
+        now = timerValues.getCurrentProcessingTimeInMs() if self.clock else timerValues.getCurrentWatermarkInMs()
+        now = max(now, expiredTimerInfo.getExpiryTimeInMs() + 1)
+        left = {}
+        for check, held in checks.items():
+            if self.ends(held) >= now:
+                left[check] = held
+            elif held[0] is not None and not held[1]:
+                yield self.settled(check, None)
+        self.keep(left, None)  # the timer that fired is gone
+
+    def ends(self, held: tuple) -> int:
+        """When a check leaves: an outcome without a submission waits for it, no longer than a check waits for its outcome."""
+        submitted, _, outcome = held
+        return (submitted if submitted is not None else outcome[0]) + self.cap
+
+    def load(self) -> tuple[dict, int | None]:
+        if not self.part.exists():
+            return {}, None
+        checks, timer = self.part.get()
+        return pickle.loads(checks), timer
+
+    def keep(self, checks: dict, timer: int | None) -> None:
+        """Store a part with a timer at the end of the first check to leave; one without checks goes."""
+        first = min(map(self.ends, checks.values()), default=None)
+        if timer != first:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+        if checks:
+            self.part.update((pickle.dumps(checks, pickle.HIGHEST_PROTOCOL), first))
+        else:
+            self.part.clear()
+
+    def settled(self, check: int, outcome: tuple | None) -> Row:
         if outcome is None:
             late = f"no final state within {self.cap // 1000}s"
             return Row(check_id=check, status="Timeout", operation_location=None, error_message=late, write_ok=True, failed_call=False)
@@ -97,5 +132,7 @@ def settle_stream(events: DataFrame, cap_seconds: int = CAP_SECONDS, delay: str
     spark = events.sparkSession
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
     rows = events.filter("check_id IS NOT NULL AND event_time IS NOT NULL").withWatermark("event_time", delay)
-    return rows.groupBy("check_id").transformWithState(
+    part = F.pmod(F.xxhash64("check_id"), F.lit(BUCKETS)).cast("int")
+    rows = rows.select(part.alias("part"), "event_time", "check_id", F.unix_millis("event_time").alias("at"), *EVENT[2:])
+    return rows.groupBy("part").transformWithState(
         Settle(1000 * cap_seconds, clock), OUTCOME, "append", "ProcessingTime" if clock else "EventTime")
