@@ -14,15 +14,16 @@ import sys
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from docpulse.session import shared_dir
 from docpulse.sources import stores
-from docpulse.sources.files import relative_path, root_path
-from docpulse.sources.stores import open_store, safe_path
+from docpulse.sources.stores import entries, open_store, safe_path
 
 # Sources and functions go to the tasks with their code, so that executors need no copy of the package.
 cloudpickle.register_pickle_by_value(stores)
@@ -30,6 +31,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FORMAT = "docpulse_sidecars"
 STAGED, COMMITTED = "_staged", "_committed"
+PIECE = 10_000  # sidecars of a task, and names of a batch
+LISTED = pa.schema([("path", pa.string()), ("is_file", pa.bool_())])
+READ = pa.schema([("path", pa.string()), ("text", pa.binary())])
 
 
 class Written(WriterCommitMessage):
@@ -138,8 +142,56 @@ def _move(store: pafs.FileSystem, root: str, attempt: str) -> None:
 
 
 def read_sidecars(spark: SparkSession, folder: str) -> DataFrame:
-    """The sidecars below ``folder`` that are in place, as ``path, text``; empty ones are left out."""
-    rows = spark.read.option("ignoreMissingFiles", True).text(
-        folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.{error.txt,report.json}")
-    path = relative_path(F.col("_metadata.file_path"), root_path(spark, folder), True)
-    return rows.select(path.alias("path"), F.col("value").alias("text")).filter(~F.col("path").startswith("_"))
+    """The sidecars below ``folder`` that are in place, as ``path, text``; empty ones are left out.
+
+    There may be one for every file that was ever rejected: names are listed level by level in tasks and written, and texts are read in
+    tasks, so that neither goes through the driver. As in Spark's own listings names that begin with a dot or an underscore do not count.
+    """
+    store, root = open_store(folder)
+    if store.get_file_info(root).type == pafs.FileType.NotFound:
+        raise FileNotFoundError(folder)
+    listing = f"{shared_dir(spark)}/docpulse-sidecars-{uuid.uuid4().hex}"
+
+    def below(batches: Iterator) -> Iterator:
+        store, root = open_store(folder)
+        for batch in batches:
+            for own in batch.column("path").to_pylist():
+                found = []
+                for name, is_file, length in entries(store, f"{root}/{own}" if own else root):
+                    if not _hidden(name) and (not is_file or length and name.endswith((".error.txt", ".report.json"))):
+                        found.append({"path": f"{own}/{name}" if own else name, "is_file": is_file})
+                    if len(found) == PIECE:
+                        yield pa.RecordBatch.from_pylist(found, LISTED)
+                        found = []
+                yield pa.RecordBatch.from_pylist(found, LISTED)
+
+    def texts(batches: Iterator) -> Iterator:
+        store, root = open_store(folder)
+        for batch in batches:
+            found, size = [], 0
+            for path in batch.column("path").to_pylist():
+                try:
+                    with store.open_input_stream(f"{root}/{path}") as file:
+                        text = file.read()
+                except FileNotFoundError:  # gone meanwhile
+                    continue
+                found.append({"path": path, "text": text})
+                size += len(text)
+                if size > 1 << 23:
+                    yield pa.RecordBatch.from_pylist(found, READ)
+                    found, size = [], 0
+            yield pa.RecordBatch.from_pylist(found, READ)
+
+    schema, level = "path STRING, is_file BOOLEAN", 0
+    rows = spark.createDataFrame([("",)], "path STRING")
+    while not rows.isEmpty():
+        rows.repartition("path").mapInArrow(below, schema).write.parquet(f"{listing}/{level}")
+        rows = spark.read.schema(schema).parquet(f"{listing}/{level}").filter("NOT is_file").select("path")
+        level += 1
+    paths = spark.read.schema(schema).parquet(*[f"{listing}/{i}" for i in range(level)]).filter("is_file").select("path")
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-paths.count() // PIECE))
+    return paths.repartition(tasks).mapInArrow(texts, "path STRING, text BINARY").withColumn("text", F.col("text").cast("string"))
+
+
+def _hidden(name: str) -> bool:
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
