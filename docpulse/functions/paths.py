@@ -47,6 +47,12 @@ def parse_result_paths(df: DataFrame, path: str = "path", area: str = C.SOURCE)
     return out.withColumn("blob_path", F.concat_ws("/", F.lit(area), F.col(path)))
 
 
+def is_result_path(path: str = "path") -> Column:
+    """Whether ``parse_result_paths`` keeps a path; false for NULL."""
+    parts = F.split(F.col(path), "/")
+    return F.coalesce((F.size(parts) == 3) & F.lower(F.try_element_at(parts, F.lit(3))).endswith(".json"), F.lit(False))
+
+
 def parse_raw_paths(df: DataFrame, path: str = "path", area: str = C.INCOMING) -> DataFrame:
     """Keep raw files (three segments, a dot in the name) and add their parts and stored path."""
     out = _split_three(df, path, lambda name: name.contains("."))

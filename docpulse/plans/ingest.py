@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docpulse import constants as C
-from docpulse.functions.paths import parse_result_paths
+from docpulse.functions.paths import is_result_path, parse_result_paths
 from docpulse.functions.text import ci_key
 from docpulse.operators.depth import by_depth, levels_needed
 from docpulse.operators.documents import backlink, constraint_violations, finalize_stats
@@ -117,8 +117,8 @@ def ingest_batch(
     headers, leaves = staged.filter("kind = 'document'"), staged.filter("kind = 'leaf'")
     bad_files = _settle(failures(staged), f"{folder}/bad_files")
     usable = headers.join(bad_files, "blob_path", "left_anti")
-    refused = _settle(constraint_violations(usable, leaves).join(
-        usable.select(*VERSION, *FILE), VERSION, "inner"), f"{folder}/refused")
+    violations = _settle(constraint_violations(usable, leaves), f"{folder}/violations")  # few or none, which spares the headers a shuffle
+    refused = _settle(violations.join(usable.select(*VERSION, *FILE), VERSION, "inner"), f"{folder}/refused")
     bad_versions = _settle(
         headers.join(bad_files, "blob_path", "left_semi").select(*VERSION)
         .unionByName(refused.select(*VERSION)), f"{folder}/bad_versions")
@@ -158,15 +158,17 @@ def ingest_batch(
             "preprocess_check_id",
             F.when(F.col("processed_blob_url").isNotNull(), F.col("preprocess_check_id")))
     store(done, "documents")
-    if runs is None:
-        manifest = read_run(spark, out, "manifest", run_id)
     if sidecars is not None:
+        if runs is None:
+            manifest = read_run(spark, out, "manifest", run_id)
         publish_sidecars(manifest.filter("sidecar_path IS NOT NULL").select(
             F.col("sidecar_path").alias("path"), F.col("sidecar_text").alias("text")), sidecars)
-    relative = F.substring(F.col("src_path"), F.lit(len(C.SOURCE) + 2), F.length("src_path")).alias("path")
-    routed = manifest.select(relative, F.when(F.col("disposition") == C.PROCESSED, "processed").otherwise("failed").alias("outcome"))
-    misplaced = paths.join(parse_result_paths(paths).select("path"), "path", "left_anti")
-    outcomes = routed.unionByName(misplaced.select("path", F.lit("skipped").alias("outcome")))
+    # One look at the paths tells the processed from those of another layout, which have no stored path.
+    blob_path = F.when(is_result_path(), F.concat_ws("/", F.lit(C.SOURCE), "path"))
+    kept = paths.withColumn("blob_path", blob_path).join(failed, "blob_path", "left_anti").select(
+        "path", F.when(F.col("blob_path").isNull(), "skipped").otherwise("processed").alias("outcome"))
+    relative = F.substring(F.col("blob_path"), F.lit(len(C.SOURCE) + 2), F.length("blob_path")).alias("path")
+    outcomes = kept.unionByName(failed.select(relative, F.lit("failed").alias("outcome")))
     if runs is None:
         publish(batch_summary(outcomes, deferred), out, "batches", run_id)
         clear_staging(spark, out, run_id)
