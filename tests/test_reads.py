@@ -1,10 +1,15 @@
 """What a batch and a refresh read: each input as few times as its outputs need."""
 
+import os
+
 import pytest
 
 from docpulse.functions.paths import is_result_path, parse_result_paths
 from docpulse.plans import ingest
+from docpulse.plans import partials as P
+from docpulse.session import staging_dir
 from docpulse.sources import tables as T
+from test_partials import put
 
 GOOD = '{"fieldLabels":{"f":{"valueString":"x"}}}'
 REFUSED = '{"fieldLabels":{"f":{"type":"date","valueDate":"never"}}}'
@@ -58,3 +63,15 @@ def test_result_paths_are_told_as_they_are_parsed(spark):
     rows = spark.createDataFrame([(p,) for p in ("u/a/x.json", "u/a/x.JSON", "u//x.json", "u/a/x.txt", "x.json", "u/a/b/x.json", "u/a/", "", None)], "path STRING")
     assert rows.filter(is_result_path()).collect() == parse_result_paths(rows).select("path").collect()
     assert rows.filter(~is_result_path()).count() == 6  # NULL among them
+
+
+def test_a_refresh_finds_current_documents_once(spark, folder, monkeypatch):
+    plans, share = {}, P._share
+    monkeypatch.setattr(P, "_share", lambda rows, name: (plans.update({name: rows._jdf.queryExecution().optimizedPlan().toString()}), share(rows, name))[1])
+    put(spark, folder, "run-a", range(4), 0.9, 1)
+    put(spark, folder, "run-b", range(2), 0.4, 2, "U")
+    assert P.refresh(spark, folder) == 1
+    assert all("Aggregate" not in plans[name] and "LeftSemi" not in plans[name] for name in ("fields", "documents"))
+    rows = {r.usecase: r.document_count for r in P.report(spark, folder, "documents").collect()}
+    assert rows == {"u": 2, "U": 2}
+    assert not os.path.exists(staging_dir(spark, folder, f"{P.ROOT}-1"))  # deleted once published
