@@ -75,3 +75,17 @@ def test_a_refresh_finds_current_documents_once(spark, folder, monkeypatch):
     rows = {r.usecase: r.document_count for r in P.report(spark, folder, "documents").collect()}
     assert rows == {"u": 2, "U": 2}
     assert not os.path.exists(staging_dir(spark, folder, f"{P.ROOT}-1"))  # deleted once published
+
+
+def test_a_refresh_looks_for_touched_runs_among_the_others(spark, folder, monkeypatch):
+    seen, runs_with = [], P._runs_with
+    monkeypatch.setattr(P, "_runs_with", lambda rows, keys: (seen.append(sorted(r.run_id for r in rows.select("run_id").distinct().collect())), runs_with(rows, keys))[1])
+    put(spark, folder, "run-a", range(4), 0.9, 1)
+    put(spark, folder, "run-b", range(4, 6), 0.9, 1)
+    P.refresh(spark, folder)
+    assert seen == []  # all are new, so there are no others
+    put(spark, folder, "run-c", range(2), 0.4, 2)
+    put(spark, folder, "run-d", range(2), 0.5, 3)
+    P.refresh(spark, folder)
+    assert seen == [["run-a", "run-b"]]
+    assert {r.run_id: r.gen for r in P._read_marks(spark, folder, 2).collect()} == {"run-a": 2, "run-b": 1, "run-c": 2, "run-d": 2}
